@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values.
-WORD_BREAK = r"\W+"
+# Fixed values. A word is a longest run of ASCII letters, digits and underscores,
+# which is what a split on \W+ leaves once empty pieces are dropped.
+WORD = r"\w+"
 KEY_VALUE_SEPARATOR = " "
 
 
-def pieces(line: Column) -> Column:
-    """The pieces of a line between word breaks. Some may be empty."""
-    return F.split(line, WORD_BREAK)
+def word_list(line: Column) -> Column:
+    """The words of a line, in their order, as an array."""
+    return F.regexp_extract_all(line, F.lit(WORD), F.lit(0))
 
 
 def null_to_empty(value: Column) -> Column:

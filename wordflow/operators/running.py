@@ -27,6 +27,7 @@ def running_combine(
     element: str = "word",
     expand: Callable[[DataFrame], DataFrame] = _one_element_per_row,
     within: Sequence[str] = (),
+    expand_for_totals: Callable[[DataFrame], DataFrame] | None = None,
     ranges: int | None = None,
     with_final: bool = False,
 ) -> DataFrame:
@@ -34,7 +35,8 @@ def running_combine(
 
     ``order`` must identify a row. ``expand`` turns a row into its elements
     (words of a line, say), ordered by the columns ``within`` that it adds; rows
-    are moved before they are expanded. ``with_final`` adds a column ``is_final``
+    are moved before they are expanded. ``expand_for_totals`` may leave out
+    elements that do not change a total. ``with_final`` adds a column ``is_final``
     and one more row that holds the last result and no element.
 
     This is a prefix scan: the rows are cut into ranges of the order, one per
@@ -49,7 +51,7 @@ def running_combine(
     parts = mergeable.parts.items()
 
     placed = rows.withColumn(RANGE, range_number(rows, order, points))
-    still = expand(placed)
+    still = (expand_for_totals or expand)(placed)
     totals = (
         still.select(RANGE, *mergeable.lifted(F.col(element), order_numbers(still, full_order)))
         .groupBy(RANGE)
@@ -83,7 +85,7 @@ def running_combine(
         name: part.merge(F.col(f"start_{name}"), F.col(f"local_{name}")) for name, part in parts
     }
     shown = [name for name in moved.columns if name != RANGE]
-    running = local.join(F.broadcast(starts) if few else starts, RANGE).select(
+    running = local.join(F.broadcast(starts) if few else starts, RANGE, "left").select(
         *shown, mergeable.finish(merged).alias(mergeable.result)
     )
     if not with_final:

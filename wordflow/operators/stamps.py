@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed values.
@@ -18,6 +19,29 @@ UNPARSABLE_DATE = "unparsable_date"
 DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd HH:mm:ss", "dd.MM.yyyy")
 
 
+def _shape(date_format: str) -> str | None:
+    """A regular expression for all dates of a format of numbers only, else None."""
+    shape = ""
+    for run in re.finditer(r"([A-Za-z])\1*|[^A-Za-z]", date_format):
+        text, letter = run.group(), run.group(1)
+        if letter is None and text not in "'[]{}#":
+            shape += re.escape(text)
+        elif letter and letter in "MdHms" and len(text) == 2:
+            shape += r"\d{2}"
+        elif letter and letter in "yMdHmsS" and (letter != "M" or len(text) == 1):
+            shape += r"[+-]?\d+"
+        else:
+            return None
+    return f"^{shape}$"
+
+
+def _read_date(date: Column, date_format: str) -> Column:
+    """The date as a timestamp, or null. A failed attempt to read is slow, so most are avoided."""
+    read = F.try_to_timestamp(date, F.lit(date_format))
+    shape = _shape(date_format)
+    return F.when(date.rlike(shape), read) if shape else read
+
+
 def normalise_stamps(
     lines: DataFrame, formats: Sequence[str] = DATE_FORMATS, line: str = "line"
 ) -> tuple[DataFrame, DataFrame]:
@@ -32,7 +56,7 @@ def normalise_stamps(
     cut = lines.select(
         *others, lines[line].alias(line), halves[0].alias("date"), F.get(halves, 1).alias("rest")
     )
-    read = F.coalesce(*[F.try_to_timestamp("date", F.lit(each)) for each in formats])
+    read = F.coalesce(*[_read_date(F.col("date"), each) for each in formats])
     complete = (F.col("date") != "") & (F.coalesce(F.col("rest"), F.lit("")) != "")
     judged = cut.select(
         *others,

@@ -5,15 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordflow.functions.text import pieces
+from wordflow.functions.text import word_list
 
 
-def words(lines: DataFrame, line: str = "line", word: str = "word", pos: str = "pos") -> DataFrame:
+def words(
+    lines: DataFrame, line: str = "line", word: str = "word", pos: str | None = "pos"
+) -> DataFrame:
     """One row per word of ``line``; the other columns stay.
 
-    ``pos`` is the place of the word among the line's pieces, so it rises within
-    a line. Case is kept, empty pieces are dropped, a null line has no words.
+    ``pos`` counts the words of a line from 0, and is left out if it is None.
+    Case is kept. A null line has no words.
     """
     others = [lines[name] for name in lines.columns if name != line]
-    split = lines.select(*others, F.posexplode(pieces(lines[line])).alias(pos, word))
-    return split.filter(F.col(word) != "")
+    found = word_list(lines[line])
+    if pos is None:
+        return lines.select(*others, F.explode(found).alias(word))
+    return lines.select(*others, F.posexplode(found).alias(pos, word))
+
+
+def longest_words(
+    lines: DataFrame, line: str = "line", word: str = "word", pos: str = "pos"
+) -> DataFrame:
+    """The first of the longest words of each line that has words, as ``words`` gives it."""
+    others = [lines[name] for name in lines.columns if name != line]
+    found = lines.select(*others, word_list(lines[line]).alias(word)).filter(F.size(word) > 0)
+    lengths = F.transform(word, F.length)
+    place = F.array_position(lengths, F.array_max(lengths)).cast("int") - 1
+    return found.withColumn(pos, place).withColumn(word, F.get(word, pos)).select(
+        *[name for name in lines.columns if name != line], pos, word
+    )

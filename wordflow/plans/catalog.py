@@ -105,10 +105,9 @@ def _ntz(df: DataFrame, *names: str) -> DataFrame:
 # The same inputs in SQL
 
 DOCUMENT_WORDS = r"""
-pieces as (select doc_id, regexp_split_to_array(text, '\W+') as a from documents),
+pieces as (select doc_id, list_filter(regexp_split_to_array(text, '\W+'), lambda w: w <> '') as a from documents),
 words as (
-    select * from (select doc_id, unnest(range(len(a))) as pos, unnest(a) as word from pieces)
-    where word <> ''
+    select doc_id, unnest(range(len(a))) as pos, unnest(a) as word from pieces
 )"""
 
 RECORDS = r"""
@@ -124,12 +123,9 @@ lines as (
 )"""
 
 EVENT_WORDS = RECORDS + r""",
-pieces as (select event_id, ts, regexp_split_to_array(line, '\W+') as a from lines),
+pieces as (select event_id, ts, list_filter(regexp_split_to_array(line, '\W+'), lambda w: w <> '') as a from lines),
 words as (
-    select * from (
-        select event_id, ts, unnest(range(len(a))) as pos, unnest(a) as word from pieces
-    )
-    where word <> ''
+    select event_id, ts, unnest(range(len(a))) as pos, unnest(a) as word from pieces
 )"""
 
 
@@ -181,12 +177,11 @@ def document_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     r"""with pieces as (
-        select conv_id, turn, role, regexp_split_to_array(text, '\W+') as a from conversations
-    )
-    select * from (
-        select conv_id, turn, role, unnest(range(len(a))) as pos, unnest(a) as word from pieces
+        select conv_id, turn, role,
+            list_filter(regexp_split_to_array(text, '\W+'), lambda w: w <> '') as a
+        from conversations
     )
-    where word <> ''"""
+    select conv_id, turn, role, unnest(range(len(a))) as pos, unnest(a) as word from pieces"""
 )
 def conversation_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words(spread(spark.read.parquet(f"{sf_dir}/conversations.parquet")), line="text")
@@ -521,7 +516,7 @@ def stream_longest_word(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {EVENT_WORDS} select {AVERAGE} from words")
 def stream_average_word_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "average")
-    so_far = combine_so_far(words(_event_line_stream(spark, sf_dir)), AVERAGE_LENGTH)
+    so_far = combine_so_far(words(_event_line_stream(spark, sf_dir), pos=None), AVERAGE_LENGTH)
     run_available(
         spark, running_stream(so_far, batch_folders(f"{folder}/out"), f"{folder}/state")
     )

@@ -55,7 +55,7 @@ def average_word_length_topic(
 ) -> DataStreamWriter:
     """Key: empty, value: the average word length so far as a double."""
     lines = keyed_lines(kafka_records(spark, servers, input_topic))
-    so_far = combine_so_far(words(lines), AVERAGE_LENGTH)
+    so_far = combine_so_far(words(lines, pos=None), AVERAGE_LENGTH)
     return record_stream(
         with_key(so_far), servers, output_topic, checkpoint, value="avg_len", mode="update"
     )

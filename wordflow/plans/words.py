@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from wordflow.functions.mergeable import AVERAGE_LENGTH, LONGEST_WORD, Mergeable
+from wordflow.functions.mergeable import AVERAGE_LENGTH, LONGEST_WORD
 from wordflow.operators.combine import combine_globally
 from wordflow.operators.counts import count_per_element, count_per_window, top_k_per_window
 from wordflow.operators.running import running_combine
-from wordflow.operators.tokens import words
+from wordflow.operators.tokens import longest_words, words
 
 
 def word_count(lines: DataFrame, line: str = "line") -> DataFrame:
     """``word, n``: how often each word occurs."""
-    return count_per_element(words(lines.select(line), line))
+    return count_per_element(words(lines.select(line), line, pos=None))
 
 
 def windowed_word_count(
@@ -32,7 +32,7 @@ def windowed_word_count(
     timed = lines.select(ts, line)
     if lines.isStreaming:
         timed = timed.withWatermark(ts, lateness)
-    return count_per_window(words(timed, line), size, ts=ts)
+    return count_per_window(words(timed, line, pos=None), size, ts=ts)
 
 
 def top_k_words(
@@ -56,45 +56,46 @@ def average_word_length(
 ) -> DataFrame:
     """``avg_len``: NaN without words, or no row then if ``with_default`` is false."""
     return combine_globally(
-        words(lines.select(line), line), AVERAGE_LENGTH, with_default=with_default
+        words(lines.select(line), line, pos=None), AVERAGE_LENGTH, with_default=with_default
     )
 
 
-def _running(
+def running_longest_word(
     lines: DataFrame,
-    mergeable: Mergeable,
     order: Sequence[str],
-    line: str,
-    word: str,
-    ranges: int | None,
-    with_final: bool = False,
+    line: str = "line",
+    ranges: int | None = None,
+    with_final: bool = True,
 ) -> DataFrame:
-    to_words: Callable[[DataFrame], DataFrame] = lambda rows: words(rows, line, word)
+    """After each ``element`` the longest ``word`` so far, and the last one once more."""
     return running_combine(
         lines,
-        mergeable,
+        LONGEST_WORD,
         order,
-        element=word,
-        expand=to_words,
+        element="element",
+        expand=lambda rows: words(rows, line, "element"),
         within=["pos"],
+        expand_for_totals=lambda rows: longest_words(rows, line, "element"),
         ranges=ranges,
         with_final=with_final,
     )
 
 
-def running_longest_word(
+def running_average_word_length(
     lines: DataFrame,
     order: Sequence[str],
     line: str = "line",
     ranges: int | None = None,
-    with_final: bool = True,
-) -> DataFrame:
-    """After each ``element`` the longest ``word`` so far, and the last one once more."""
-    return _running(lines, LONGEST_WORD, order, line, "element", ranges, with_final)
-
-
-def running_average_word_length(
-    lines: DataFrame, order: Sequence[str], line: str = "line", ranges: int | None = None
+    with_final: bool = False,
 ) -> DataFrame:
     """After each ``element`` the average word length ``avg_len`` so far."""
-    return _running(lines, AVERAGE_LENGTH, order, line, "element", ranges)
+    return running_combine(
+        lines,
+        AVERAGE_LENGTH,
+        order,
+        element="element",
+        expand=lambda rows: words(rows, line, "element"),
+        within=["pos"],
+        ranges=ranges,
+        with_final=with_final,
+    )
