@@ -1,0 +1,60 @@
+import math
+
+from conftest import plan_of
+
+from pyspark.sql import functions as F
+
+from wordflow.functions.mergeable import ELEMENT_COUNT, Mergeable, Part, greatest
+from wordflow.operators.combine import combine_globally
+from wordflow.operators.running import running_combine
+from wordflow.plans.words import average_word_length, longest_word
+
+
+def test_longest_word_and_ties(lines):
+    df = lines((5, "bbb aaa"), (1, "a ccc ddd"), (1, "eee"), (0, "zz"))
+    assert longest_word(df, ["ts", "id"]).first().word == "ccc"
+    assert longest_word(df, ["id"]).first().word == "bbb"
+
+
+def test_longest_word_of_nothing(lines):
+    assert longest_word(lines((0, "!!")), ["ts", "id"]).count() == 0
+
+
+def test_average(lines):
+    assert average_word_length(lines((0, "a bb"), (1, "ccc"))).first().avg_len == 2.0
+
+
+def test_average_of_nothing(lines):
+    empty = lines((0, "--"), (1, None))
+    assert math.isnan(average_word_length(empty).first().avg_len)
+    assert average_word_length(empty, with_default=False).count() == 0
+
+
+def test_count_of_nothing_is_zero(spark):
+    empty = spark.createDataFrame([], "word string")
+    assert combine_globally(empty, ELEMENT_COUNT).first().n == 0
+
+
+def spread_of_lengths():
+    """A mergeable of one's own: longest minus shortest length."""
+    return Mergeable(
+        result="spread",
+        parts={
+            "longest": greatest(lambda word, order: F.length(word)),
+            "shortest": Part(lambda word, order: F.length(word), F.min, F.least),
+        },
+        finish=lambda totals: totals["longest"] - totals["shortest"],
+    )
+
+
+def test_own_mergeable_over_all_and_running(spark):
+    rows = [(i, "x" * n) for i, n in enumerate([3, 5, 2, 4, 9, 1])]
+    df = spark.createDataFrame(rows, "id bigint, word string")
+    assert combine_globally(df, spread_of_lengths()).first().spread == 8
+    running = running_combine(df, spread_of_lengths(), ["id"], ranges=3).orderBy("id")
+    assert [row.spread for row in running.collect()] == [0, 2, 3, 3, 7, 8]
+
+
+def test_tasks_reduce_before_rows_meet(lines):
+    plan = plan_of(average_word_length(lines((0, "a"))))
+    assert "partial_sum" in plan

@@ -51,23 +51,24 @@ def normalise_stamps(
     offset, and ``rest``. Rejected rows keep the line and say why in ``reason``.
     The first of ``formats`` that reads the date counts.
     """
-    others = [lines[name] for name in lines.columns if name != line]
+    names = [name for name in lines.columns if name != line]
     halves = F.split(F.trim(lines[line]), SEPARATOR, 2)
     cut = lines.select(
-        *others, lines[line].alias(line), halves[0].alias("date"), F.get(halves, 1).alias("rest")
+        *[lines[name] for name in lines.columns],
+        halves[0].alias("date"),
+        F.coalesce(F.get(halves, 1), F.lit("")).alias("rest"),
     )
     read = F.coalesce(*[_read_date(F.col("date"), each) for each in formats])
-    complete = (F.col("date") != "") & (F.coalesce(F.col("rest"), F.lit("")) != "")
-    judged = cut.select(
-        *others,
-        line,
-        "rest",
-        F.date_format(read, STAMP_FORMAT).alias("stamp"),
-        F.when(~F.coalesce(complete, F.lit(False)), MISSING_SEMICOLON)
-        .when(read.isNull(), UNPARSABLE_DATE)
-        .alias("reason"),
+    stamp = F.date_format(read, STAMP_FORMAT)
+    # Exploded, so that the filters below do not read the date a second time.
+    stamped = cut.select("*", F.explode(F.array(stamp)).alias("stamp"))
+    complete = (F.col("date") != "") & (F.col("rest") != "")
+    reason = (
+        F.when(complete, F.when(F.col("stamp").isNull(), UNPARSABLE_DATE))
+        .otherwise(MISSING_SEMICOLON)
+        .alias("reason")
     )
-    names = [name for name in lines.columns if name != line]
+    judged = stamped.select("*", reason)
     accepted = judged.filter("reason is null").select(*names, "stamp", "rest")
     rejected = judged.filter("reason is not null").select(*names, line, "reason")
     return accepted, rejected

@@ -86,7 +86,7 @@ def _event_line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stamped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as ``date;rest`` lines, in a different shape per event type."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
     kind = F.col("event_type")
     line = (
         F.when(kind == "click", F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(";a;"), "props"))

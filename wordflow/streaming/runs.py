@@ -15,10 +15,6 @@ STREAM_SETTINGS = {
     # Late rows are judged by the watermark of the micro-batch before, not by
     # the one before that. Allows one stateful operator per query.
     "spark.sql.streaming.statefulOperator.allowMultiple": "false",
-    # State larger than memory: one row per open window and word.
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
 }
 
 # Later than any event.
