@@ -5,13 +5,11 @@ from conftest import plan_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from pyspark.sql import functions as F
-
-from wordflow.operators.order import range_number, split_points
+from wordflow.operators.order import split_points, with_range
 
 
 def shares(df, order, points):
-    placed = df.withColumn("r", range_number(df, order, points))
+    placed = with_range(df, order, points, "r")
     return {row.r: row["count"] for row in placed.groupBy("r").count().collect()}
 
 
@@ -44,7 +42,7 @@ def test_no_rows_and_one_range(spark):
 
 def test_null_keys_come_first(spark):
     df = spark.createDataFrame([(None,), (1,), (2,), (3,), (4,)], "id bigint")
-    placed = df.withColumn("r", range_number(df, ["id"], [(1,), (3,)]))
+    placed = with_range(df, ["id"], [(1,), (3,)], "r")
     assert [row.r for row in placed.orderBy("id").collect()] == [0, 0, 1, 1, 2]
 
 
@@ -53,10 +51,17 @@ def test_text_keys_are_refused(spark):
         split_points(spark.createDataFrame([("a",)], "name string"), ["name"], 2)
 
 
-def test_points_are_one_constant_in_the_plan(spark):
-    df = spark.range(10)
-    plan = plan_of(df.select(range_number(df, ["id"], [(3,), (7,)]).alias("r")))
-    assert "from_json" not in plan
+def test_null_points_come_first(spark):
+    df = spark.createDataFrame([(None, 1), (None, 5), (0, 0), (2, None), (2, 1)], "a bigint, b bigint")
+    points = [(None, 1), (None, 3), (1, 1), (2, None)]
+    placed = with_range(df, ["a", "b"], points, "r")
+    assert [row.r for row in placed.orderBy("a", "b").collect()] == [0, 2, 2, 3, 4]
+
+
+def test_search_stays_in_generated_code(spark):
+    plan = plan_of(with_range(spark.range(10), ["id"], [(3,), (5,), (7,)], "r"))
+    assert "from_json" not in plan and "lambda" not in plan
+    assert all(line.lstrip(" +-:").startswith("*(1)") for line in plan.strip().splitlines())
 
 
 KEYS = st.lists(st.tuples(st.integers(-50, 50), st.integers(-5, 5)), min_size=1, max_size=60)
@@ -70,6 +75,6 @@ def test_ranges_follow_the_order(spark, keys, ranges):
     points = split_points(df, ["a", "b"], ranges)
     assert points == sorted(set(points))
     assert len(points) <= max(1, ranges)
-    placed = df.withColumn("r", range_number(df, ["a", "b"], points))
+    placed = with_range(df, ["a", "b"], points, "r")
     for row in placed.collect():
         assert row.r == sum(point < (row.a, row.b) for point in points)

@@ -54,20 +54,23 @@ def split_points(rows: DataFrame, order: Sequence[str], ranges: int) -> list[tup
     return list(dict.fromkeys(tuple(row) for row in cuts.orderBy("place").select(*names).collect()))
 
 
-def range_number(rows: DataFrame, order: Sequence[str], points: list[tuple[int, ...]]) -> Column:
-    """How many of ``points`` lie before a row's key: a binary search per row."""
-    if not points:
-        return F.lit(0)
+def with_range(
+    rows: DataFrame, order: Sequence[str], points: list[tuple[int, ...]], name: str
+) -> DataFrame:
+    """``rows`` and, as column ``name``, how many of ``points`` lie before a row's key.
+
+    A binary search, one projection per step, each with the points it may meet.
+    """
     names = _key_names(order)
-    text = json.dumps([dict(zip(names, point)) for point in points])
-    fields = ", ".join(f"{name}: bigint" for name in names)
-    table = F.from_json(F.lit(text), f"array<struct<{fields}>>")
+    fields = ", ".join(f"{key}: bigint" for key in names)
     key = F.struct(*[n.alias(k) for n, k in zip(order_numbers(rows, order), names)])
-    steps = [2**bit for bit in reversed(range(len(points).bit_length()))]
-    return F.aggregate(
-        F.array(*[F.lit(step) for step in steps]),
-        F.lit(0),
-        lambda before, step: F.when(
-            F.get(table, before + step - 1) < key, before + step
-        ).otherwise(before),
-    )
+    placed = rows.withColumns({name: F.lit(0), "order_key": key})
+    for bit in reversed(range(len(points).bit_length())):
+        step = 2**bit
+        text = json.dumps([dict(zip(names, point)) for point in points[step - 1 :: 2 * step]])
+        table = F.from_json(F.lit(text), f"array<struct<{fields}>>")
+        point = F.get(table, F.shiftright(name, bit + 1))
+        placed = placed.withColumn(
+            name, F.when(point < F.col("order_key"), F.col(name) + step).otherwise(F.col(name))
+        )
+    return placed.drop("order_key")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordflow.functions.mergeable import Mergeable
-from wordflow.operators.order import order_numbers, range_number, split_points
+from wordflow.operators.order import order_numbers, split_points, with_range
 
 # Above this many ranges the table of range totals is not broadcast.
 BROADCAST_RANGES = 50_000
@@ -50,7 +50,7 @@ def running_combine(
     full_order = [*order, *within]
     parts = mergeable.parts.items()
 
-    placed = rows.withColumn(RANGE, range_number(rows, order, points))
+    placed = with_range(rows, order, points, RANGE)
     still = (expand_for_totals or expand)(placed)
     totals = (
         still.select(RANGE, *mergeable.lifted(F.col(element), order_numbers(still, full_order)))

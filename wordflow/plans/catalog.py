@@ -481,6 +481,20 @@ def stream_windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(spark.read.parquet(f"{folder}/out"), "window_start", "window_end")
 
 
+@query(_windowed_sql("1 day"))
+def stream_windowed_word_count_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results wait for rows up to six hours late; there are none in one micro-batch."""
+    folder = shared_folder(spark, "late")
+    run_to_end(
+        _event_line_stream(spark, sf_dir),
+        f"{folder}/ending",
+        lambda lines: count_stream(
+            lines, "1 day", f"{folder}/out", f"{folder}/state", lateness="6 hours"
+        ),
+    )
+    return _ntz(spark.read.parquet(f"{folder}/out"), "window_start", "window_end")
+
+
 @query(_top_sql("1 day", 3))
 def stream_top_k_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "top")

@@ -7,6 +7,9 @@ from pyspark.sql import types as T
 
 from wordflow.sources.text import stream_text_lines, without_skipped
 
+# Fixed value: the default pause of a paced replay.
+PACE = "100 milliseconds"
+
 
 def replay_stream(
     spark: SparkSession,
@@ -31,6 +34,6 @@ def replay_stream(
 def paced_lines(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
     """Lines of text files, a few files at a time, without the skipped lines.
 
-    The pace comes from the query's trigger, such as ``processingTime="100 milliseconds"``.
+    The pace comes from the query's trigger: ``trigger(processingTime=PACE)``.
     """
     return without_skipped(stream_text_lines(spark, path, files_per_trigger))
