@@ -5,7 +5,9 @@ from conftest import plan_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from wordflow.operators.order import split_points, with_range
+from pyspark.sql import functions as F
+
+from wordflow.operators.order import order_number, split_points, with_range
 
 
 def shares(df, order, points):
@@ -46,6 +48,20 @@ def test_null_keys_come_first(spark):
     assert [row.r for row in placed.orderBy("id").collect()] == [0, 0, 1, 1, 2]
 
 
+def test_times_without_zone_ignore_the_session_zone(spark):
+    texts = ["1969-12-31 23:59:59.999999", "2024-03-10 01:59:59.5", "2024-03-10 02:30:00",
+             "2024-03-10 03:00:00.000001", "2024-11-03 01:30:00"]
+    df = spark.createDataFrame([(text,) for text in texts], "t string")
+    df = df.select(F.col("t").cast("timestamp_ntz").alias("t"))
+    in_utc = [row.n for row in df.select(F.unix_micros(F.col("t").cast("timestamp")).alias("n")).collect()]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = [row.n for row in df.select(order_number(df, "t").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == in_utc
+
+
 def test_text_keys_are_refused(spark):
     with pytest.raises(TypeError, match="neither integer nor timestamp"):
         split_points(spark.createDataFrame([("a",)], "name string"), ["name"], 2)

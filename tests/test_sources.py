@@ -1,3 +1,4 @@
+import os
 import subprocess
 import sys
 import time
@@ -7,7 +8,7 @@ from pyspark.errors import AnalysisException
 
 from wordflow.plans.words import word_count
 from wordflow.session import shared_folder
-from wordflow.sinks.prints import print_elements, print_stream
+from wordflow.sinks.prints import print_stream
 from wordflow.sources.kafka import kafka_records
 from wordflow.sources.replay import paced_lines
 from wordflow.sources.tables import spread
@@ -49,8 +50,6 @@ def write_in_order(folder, texts):
         path = folder / f"{i}.txt"
         path.write_text(text)
         at = time.time() - 1000 + i
-        import os
-
         os.utime(path, (at, at))
 
 
@@ -79,6 +78,20 @@ def test_shared_folder_is_new_each_time(spark):
     assert one != two and one.startswith(f"{base.rstrip('/')}/x-")
 
 
+class WithoutFolder:
+    """A session in which ``spark.checkpoint.dir`` is not set."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+def test_only_local_sessions_do_without_a_shared_folder():
+    assert os.path.isdir(os.path.dirname(shared_folder(WithoutFolder("local[2]"), "x")))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(WithoutFolder("spark://host:7077"), "x")
+
+
 def test_kafka_needs_its_package(spark):
     with pytest.raises(AnalysisException, match="kafka"):
         kafka_records(spark, "host:9092", "topic", stream=False)
@@ -95,8 +108,6 @@ print_elements(spark.createDataFrame([("w", 41), ("v", 42)], "word string, n big
 
 
 def test_prints_go_to_standard_error():
-    import os
-
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     done = subprocess.run(
         [sys.executable, "-c", PRINTING.format(root=root)],

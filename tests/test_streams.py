@@ -16,9 +16,6 @@ from wordflow.streaming.running import combine_so_far, running_stream
 from wordflow.streaming.runs import run_available, run_to_end, stream_settings
 from wordflow.streaming.windows import count_stream, top_k_stream
 
-KAFKA_LIKE = "id bigint, s double, line string"
-
-
 @pytest.fixture
 def replay(spark, lines, tmp_path):
     """A stream of files, each with the given (second, text) rows."""
@@ -136,6 +133,13 @@ def test_a_repeated_batch_replaces_its_rows(spark, tmp_path):
     assert [tuple(row) for row in spark.read.parquet(str(tmp_path)).collect()] == [("a", 2, 3)]
 
 
+def test_a_run_to_the_end_may_be_repeated(spark, replay, tmp_path):
+    source = replay([(0, "a")], [(10, "b")])
+    wanted = [(0, "a", 1), (10, "b", 1)]
+    assert counts_of(spark, source, tmp_path) == wanted
+    assert counts_of(spark, source, tmp_path) == wanted
+
+
 def test_settings_are_given_back(spark):
     key = "spark.sql.streaming.statefulOperator.allowMultiple"
     before = spark.conf.get(key)

@@ -14,13 +14,23 @@ from pyspark.sql import types as T
 SAMPLES_PER_RANGE = 50
 
 
+def _micros(local: Column) -> Column:
+    """Microseconds of a time without zone. A cast would use the session's zone and its jumps."""
+    days = F.unix_date(local.cast("date")).cast("bigint")
+    minutes = (days * 24 + F.hour(local)) * 60 + F.minute(local)
+    seconds = F.extract(F.lit("SECOND"), local)  # with six decimals
+    return minutes * 60_000_000 + (seconds * 1_000_000).cast("bigint")
+
+
 def order_number(rows: DataFrame, name: str) -> Column:
     """An integer or timestamp column as a bigint that sorts the same way."""
     kind = rows.schema[name].dataType
     if isinstance(kind, T.IntegralType):
         return rows[name].cast("bigint")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(rows[name].cast("timestamp"))
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(rows[name])
+    if isinstance(kind, T.TimestampNTZType):
+        return _micros(rows[name])
     raise TypeError(f"cannot order by {name}: {kind.simpleString()} is neither integer nor timestamp")
 
 

@@ -42,7 +42,8 @@ def running_combine(
     This is a prefix scan: the rows are cut into ranges of the order, one per
     task; each range is totalled; the totals before a range, put together, are
     the start value of the running results inside it. The cuts are fixed numbers
-    in the plan, so a lost task recomputes the same range.
+    in the plan, so a lost task recomputes the same range. ``rows`` is read four
+    times, twice for its order columns only; write a costly frame to a table first.
     """
     ranges = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     points = split_points(rows, order, ranges)

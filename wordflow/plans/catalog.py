@@ -460,7 +460,8 @@ def replayed_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {TEXT_LINES} select line, count(*) as n from lines where line not in (' *', '') group by line")
 def stream_replayed_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "paced")
-    paced = paced_lines(spark, _text_folder(spark, sf_dir))
+    one_file_per_core = spark.sparkContext.defaultParallelism
+    paced = paced_lines(spark, _text_folder(spark, sf_dir), one_file_per_core)
     writer = (
         paced.writeStream.format("parquet")
         .option("path", f"{folder}/out")

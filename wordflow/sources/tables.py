@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows over all cores, if the scan gives fewer tasks than there are cores.
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows over all cores, if a stored table gives fewer tasks than there are cores.
 
-    Such an input is small by nature, so the extra shuffle is too. Larger inputs
+    Such a table is small by nature, so the extra shuffle is too. Larger ones
     come back as they are.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores)

@@ -71,10 +71,11 @@ def run_to_end(
     second source under ``folder`` too, empty at first; once the input is done a
     row without words and with a time after all others is put there, and the
     query resumes from its checkpoint. ``writer`` must set a checkpoint location.
+    After a failure the same call may be made again.
     """
     spark = lines.sparkSession
     closing = _closing_row(spark, lines.schema, ts)
-    closing.limit(0).write.parquet(folder)
+    closing.limit(0).write.mode("ignore").parquet(folder)
 
     def once() -> None:
         ending = spark.readStream.schema(lines.schema).parquet(folder)
