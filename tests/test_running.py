@@ -4,7 +4,6 @@ import pytest
 from conftest import plan_of
 
 from wordflow.functions.mergeable import AVERAGE_LENGTH
-from wordflow.operators import running
 from wordflow.operators.running import running_combine
 from wordflow.plans.words import running_average_word_length, running_longest_word
 
@@ -62,9 +61,8 @@ def test_same_results_for_any_number_of_ranges(skewed, ranges):
     assert [row.word for row in found.orderBy("t", "id", "pos").collect()] == longest
 
 
-def test_same_results_without_a_broadcast(spark, skewed, monkeypatch):
+def test_same_results_with_a_shuffled_join(spark, skewed):
     averages, _ = brute_force(skewed)
-    monkeypatch.setattr(running, "BROADCAST_RANGES", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         found = running_average_word_length(skewed, ["t", "id"], ranges=5)
@@ -72,9 +70,10 @@ def test_same_results_without_a_broadcast(spark, skewed, monkeypatch):
         assert [row.avg_len for row in found.orderBy("t", "id", "pos").collect()] == averages
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastExchange" not in plan
-    # The lines move once; the range totals come to them.
-    assert plan.count("Exchange hashpartitioning(order_range") == 3
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    # The lines move once, before they are words, and the range totals come to them.
+    assert plan.count("REPARTITION_BY_NUM") == 2
+    assert plan.count("Exchange ") == 4
 
 
 def test_hot_time_is_spread_over_tasks(skewed):

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from wordflow.functions.mergeable import Mergeable
 from wordflow.operators.order import order_numbers, split_points, with_range
 
-# Above this many ranges the table of range totals is not broadcast.
-BROADCAST_RANGES = 50_000
-
 RANGE = "order_range"
 
 
@@ -47,7 +44,7 @@ def running_combine(
     """
     ranges = ranges or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     points = split_points(rows, order, ranges)
-    few = len(points) < BROADCAST_RANGES
+    tasks = len(points) + 1
     full_order = [*order, *within]
     parts = mergeable.parts.items()
 
@@ -64,11 +61,10 @@ def running_combine(
         RANGE, *[part.total(F.col(name)).over(earlier).alias(f"start_{name}") for name, part in parts]
     )
 
-    # Range i goes to task i, unless a shuffled join has to match the ranges.
-    if few:
-        moved = expand(placed.repartitionById(len(points) + 1, F.col(RANGE)))
-    else:
-        moved = expand(placed.repartition(len(points) + 1, RANGE))
+    # Range i goes to task i, and so does its start value: whatever join Spark
+    # picks for them, the rows are not moved again.
+    starts = starts.repartitionById(tasks, F.col(RANGE))
+    moved = expand(placed.repartitionById(tasks, F.col(RANGE)))
     so_far = (
         Window.partitionBy(RANGE)
         .orderBy(*full_order)
@@ -86,7 +82,7 @@ def running_combine(
         name: part.merge(F.col(f"start_{name}"), F.col(f"local_{name}")) for name, part in parts
     }
     shown = [name for name in moved.columns if name != RANGE]
-    running = local.join(F.broadcast(starts) if few else starts, RANGE, "left").select(
+    running = local.join(starts, RANGE, "left").select(
         *shown, mergeable.finish(merged).alias(mergeable.result)
     )
     if not with_final:
