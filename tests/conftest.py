@@ -42,6 +42,7 @@ def lines(spark):
     return build
 
 
+# The lines (seconds, text) and result of the top-k example, k = 3, 10 s windows.
 TOP_K_LINES = (
     (0, "This is the first line."),
     (1, "This is the second line in the first window"),

@@ -8,6 +8,9 @@ from wordflow.operators.running import running_combine
 from wordflow.plans.words import running_average_word_length, running_longest_word
 
 
+# Inputs and results of the two running examples.
+
+
 def test_average_golden(spark):
     rows = [(0, "a"), (10, "bb"), (20, "ccc")]
     df = spark.createDataFrame(rows, "s bigint, word string")

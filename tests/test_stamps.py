@@ -1,6 +1,8 @@
 import pytest
 
-from wordflow.operators.stamps import _shape, normalise_stamps
+from pyspark.sql import functions as F
+
+from wordflow.operators.stamps import DATE_FORMATS, _shape, normalise_stamps
 
 
 @pytest.fixture
@@ -49,7 +51,26 @@ def test_own_formats_in_their_order(judged):
     }
 
 
+def test_own_output_is_read_again(judged):
+    accepted, _ = judged("2021-03-04T05:06:07+02:00;x", "2021-03-04T05:06:07;y", "\t2021-03-04;z")
+    assert accepted == {
+        0: ("2021-03-04T03:06:07+00:00", "x"),
+        1: ("2021-03-04T05:06:07+00:00", "y"),
+        2: ("2021-03-04T00:00:00+00:00", "z"),
+    }
+
+
 def test_shapes():
     assert _shape("d MMM yyyy") is None
-    assert _shape("yyyy'T'HH") is None
+    assert _shape("[HH]") is None
     assert _shape("HH:mm") == r"^\d{2}:\d{2}$"
+    assert _shape("d'T'H") == r"^[+-]?\d+T[+-]?\d+$"
+
+
+def test_no_date_is_lost_to_its_shape(spark):
+    """Each format reads what it writes, whether or not it has a shape."""
+    times = spark.sql("select timestamp'2021-03-04 05:06:07' as t union all select timestamp'0999-12-31 23:00:01'")
+    for each in (*DATE_FORMATS, "d.M.yyyy H:m:s", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd HH:mm:ssXXX"):
+        texts = times.select(F.concat(F.date_format("t", each), F.lit(";x")).alias("line"))
+        accepted, _ = normalise_stamps(texts, formats=[each])
+        assert accepted.count() == 2, each

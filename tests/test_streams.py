@@ -57,6 +57,9 @@ def test_top_k_golden(spark, replay, tmp_path):
     assert [(row.word, row.n) for row in rows] == TOP_K_RESULT
 
 
+# Inputs and results of the two running examples.
+
+
 def test_longest_word_golden(spark, replay, tmp_path):
     source = replay([(0, "a")], [(10, "bb")], [(20, "ccc")], [(30, "d")])
     so_far = combine_so_far(

@@ -16,16 +16,27 @@ STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ssxxx"
 MISSING_SEMICOLON = "missing_semicolon"
 UNPARSABLE_DATE = "unparsable_date"
 
-DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd HH:mm:ss", "dd.MM.yyyy")
+DATE_FORMATS = (
+    "yyyy-MM-dd HH:mm:ss",
+    "yyyy-MM-dd",
+    "yyyy-MM-dd'T'HH:mm:ss",
+    STAMP_FORMAT,
+    "yyyy/MM/dd HH:mm:ss",
+    "dd.MM.yyyy",
+)
 
 
 def _shape(date_format: str) -> str | None:
     """A regular expression for all dates of a format of numbers only, else None."""
     shape = ""
-    for run in re.finditer(r"([A-Za-z])\1*|[^A-Za-z]", date_format):
-        text, letter = run.group(), run.group(1)
-        if letter is None and text not in "'[]{}#":
+    for run in re.finditer(r"'([^']*)'|([A-Za-z])\2*|[^A-Za-z']", date_format):
+        text, quoted, letter = run.group(0, 1, 2)
+        if quoted is not None:
+            shape += re.escape(quoted)
+        elif letter is None and text not in "[]{}#":
             shape += re.escape(text)
+        elif letter and letter in "xX":
+            shape += r"(?:Z|[+-][\d:]+)"
         elif letter and letter in "MdHms" and len(text) == 2:
             shape += r"\d{2}"
         elif letter and letter in "yMdHmsS" and (letter != "M" or len(text) == 1):
@@ -52,7 +63,7 @@ def normalise_stamps(
     The first of ``formats`` that reads the date counts.
     """
     names = [name for name in lines.columns if name != line]
-    halves = F.split(F.trim(lines[line]), SEPARATOR, 2)
+    halves = F.split(F.btrim(lines[line], F.lit(" \t")), SEPARATOR, 2)
     cut = lines.select(
         *[lines[name] for name in lines.columns],
         halves[0].alias("date"),

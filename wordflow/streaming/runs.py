@@ -74,13 +74,12 @@ def run_to_end(
     After a failure the same call may be made again.
     """
     spark = lines.sparkSession
-    closing = _closing_row(spark, lines.schema, ts)
-    closing.limit(0).write.mode("ignore").parquet(folder)
+    spark.createDataFrame([], lines.schema).write.mode("ignore").parquet(folder)
 
     def once() -> None:
         ending = spark.readStream.schema(lines.schema).parquet(folder)
         run_available(spark, writer(lines.unionByName(ending)))
 
     once()
-    closing.write.mode("append").parquet(folder)
+    _closing_row(spark, lines.schema, ts).write.mode("append").parquet(folder)
     once()
