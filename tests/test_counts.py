@@ -1,7 +1,11 @@
+from collections import Counter
 from datetime import datetime
 
 from conftest import TOP_K_LINES, TOP_K_RESULT, plan_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
+from wordflow.operators import counts
 from wordflow.operators.counts import top_k
 from wordflow.plans.words import top_k_words, windowed_word_count, word_count
 
@@ -21,13 +25,13 @@ def test_top_k_golden(lines):
 
 
 def test_row_on_a_window_boundary_opens_the_next(lines):
-    counts = windowed_word_count(lines((2.999, "a"), (3, "a"), (3.001, "a"), (6, "a")))
-    assert [row.n for row in counts.orderBy("window_start").collect()] == [1, 2, 1]
+    found = windowed_word_count(lines((2.999, "a"), (3, "a"), (3.001, "a"), (6, "a")))
+    assert [row.n for row in found.orderBy("window_start").collect()] == [1, 2, 1]
 
 
 def test_windows_align_to_the_epoch(lines):
-    counts = windowed_word_count(lines((5, "a")), "7 seconds")
-    assert counts.first().window_start == datetime(2024, 1, 1, 0, 0, 4)
+    found = windowed_word_count(lines((5, "a")), "7 seconds")
+    assert found.first().window_start == datetime(2024, 1, 1, 0, 0, 4)
 
 
 def test_empty_windows_have_no_rows(lines):
@@ -46,10 +50,38 @@ def test_tasks_keep_k_rows_before_the_shuffle(lines):
 
 
 def test_large_k_is_thinned_in_slices_and_exact(spark):
-    counts = spark.range(5000).selectExpr("'g' as g", "string(id) as word", "id % 97 as n")
-    wanted = [row.word for row in counts.orderBy("n", "word", ascending=[False, True]).take(1200)]
-    found = top_k(counts, 1200, "g")
+    counted = spark.range(5000).selectExpr("'g' as g", "string(id) as word", "id % 97 as n")
+    wanted = [row.word for row in counted.orderBy("n", "word", ascending=[False, True]).take(1200)]
+    found = top_k(counted, 1200, "g")
     assert found.columns == ["g", "word", "n", "rank"]
     assert [row.word for row in found.orderBy("rank").collect()] == wanted
     assert "slice" in plan_of(found)
-    assert [row.word for row in top_k(counts, 7, "g").orderBy("rank").collect()] == wanted[:7]
+    assert [row.word for row in top_k(counted, 7, "g").orderBy("rank").collect()] == wanted[:7]
+
+
+def test_many_tasks_meet_in_slices(lines, monkeypatch):
+    monkeypatch.setattr(counts, "MEETING_ROWS", 0)
+    top = top_k_words(lines(*TOP_K_LINES), "10 seconds", 3)
+    assert plan_of(top).count("WindowGroupLimit") == 4
+    rows = top.orderBy("window_start", "rank").collect()
+    assert [(row.word, row.n) for row in rows] == TOP_K_RESULT
+
+
+TIMED = st.lists(
+    st.tuples(st.integers(0, 29), st.text(alphabet="ab ", max_size=9)), min_size=1, max_size=30
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(TIMED, st.integers(1, 4))
+def test_same_as_counting_by_hand(lines, pairs, k):
+    by_window = {}
+    for second, text in pairs:
+        by_window.setdefault(second // 10, Counter()).update(text.split())
+    wanted = [
+        (10 * window, *item)
+        for window, counter in sorted(by_window.items())
+        for item in sorted(counter.items(), key=lambda item: (-item[1], item[0]))[:k]
+    ]
+    top = top_k_words(lines(*pairs), "10 seconds", k).orderBy("window_start", "rank").collect()
+    assert [(row.window_start.second, row.word, row.n) for row in top] == wanted

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 WINDOW = ("window_start", "window_end")
 
+# More rows of one group than this meet in one task by way of slices.
+MEETING_ROWS = 1_000_000
+
 
 def count_per_element(elements: DataFrame, *by: str, n: str = "n") -> DataFrame:
     """Rows per distinct element. Frequent elements shrink before the shuffle."""
@@ -34,17 +39,17 @@ def top_k(counts: DataFrame, k: int, *group: str, element: str = "word", n: str
     """The ``k`` largest counts of each group; equal counts go by ``element``.
 
     Spark keeps only ``k`` rows per group and task before it brings a group
-    together. It stops doing so above a session limit on ``k``; there, ranks
-    within slices of the group thin it first, so no task gets a whole group.
+    together. Where that leaves much, or ``k`` is above the session's limit for
+    it, the tasks' rows meet in slices of the group first.
     """
-    spark = counts.sparkSession
+    conf = counts.sparkSession.conf
+    tasks = int(conf.get("spark.sql.shuffle.partitions"))
+    pruned_up_to = int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     best_first = [F.col(n).desc(), F.col(element).asc()]
-    pruned_up_to = int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if k > pruned_up_to:
-        slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if k > pruned_up_to or k * tasks > MEETING_ROWS:
         in_slice = Window.partitionBy(*group, "slice").orderBy(*best_first)
         counts = (
-            counts.withColumn("slice", F.pmod(F.xxhash64(element), F.lit(slices)))
+            counts.withColumn("slice", F.spark_partition_id() % (math.isqrt(tasks) + 1))
             .withColumn("rank", F.row_number().over(in_slice))
             .filter(F.col("rank") <= k)
             .drop("slice", "rank")

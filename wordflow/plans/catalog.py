@@ -496,6 +496,24 @@ def stream_windowed_word_count_late(spark: SparkSession, sf_dir: str) -> DataFra
     return _ntz(spark.read.parquet(f"{folder}/out"), "window_start", "window_end")
 
 
+@query(
+    f"""with {EVENT_WORDS}, {_windowed("1 hour")}
+    select * from counts
+    where window_start >= timestamp '2024-01-16' and window_end <= (select max(ts) from events)"""
+)
+def stream_late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later half of the events comes first, so the earlier half is late."""
+    folder = shared_folder(spark, "halves")
+    events = _event_lines(spark, sf_dir)
+    lines = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    later = F.col("ts") >= "2024-01-16"
+    for half in (lines.filter(later), lines.filter(~later)):
+        half.write.mode("append").parquet(f"{folder}/in")
+        arrived = replay_stream(spark, f"{folder}/in", lines.schema)
+        run_available(spark, count_stream(arrived, "1 hour", f"{folder}/out", f"{folder}/state"))
+    return _ntz(spark.read.parquet(f"{folder}/out"), "window_start", "window_end")
+
+
 @query(_top_sql("1 day", 3))
 def stream_top_k_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "top")
