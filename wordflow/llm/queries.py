@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordflow.llm.line_dedup import line_dedup
+from wordflow.llm.quality import quality_rules
+from wordflow.llm.simhash import simhash_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +31,103 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+QUALITY_SQL = r"""
+with texts as (select doc_id, lang, source, coalesce(text, '') as text from documents),
+words as (
+    select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+    from texts
+),
+runs as (
+    select doc_id, i, array_to_string(list_slice(w, i + 1, i + 8), ' ') as run
+    from (select doc_id, w, unnest(range(len(w) - 7)) as i from words where len(w) >= 8)
+),
+twice as (
+    select doc_id, i from runs
+    qualify count(*) over (partition by doc_id, run) >= 2
+),
+covered as (
+    select doc_id, count(*) as n from (
+        select distinct doc_id, unnest(range(i, i + 8)) as pos from twice
+    ) group by doc_id
+),
+counts as (
+    select doc_id, lang, source, len(w) as n_words, len(array_to_string(w, '')) as word_chars,
+        len(text) - len(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+        len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+        coalesce(n, 0) as n_repeat_words
+    from words left join covered using (doc_id)
+),
+measured as (
+    select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+        coalesce(100 * word_chars // nullif(n_words, 0), 0) as word_length,
+        coalesce(1000 * n_symbols // nullif(n_words, 0), 0) as symbol_rate,
+        coalesce(1000 * n_dup_lines // nullif(n_lines, 0), 0) as dup_line_rate
+    from counts
+),
+long as (
+    select lang, source, unnest(['word_length', 'symbol_rate', 'dup_line_rate']) as measure,
+        unnest([word_length, symbol_rate, dup_line_rate]) as v
+    from measured
+),
+sketch as (
+    select lang, source, measure, (v >> spare) << spare as bucket, count(*) as n
+    from (select *, greatest(length(bin(v)) - 6, 0) as spare from long) group by all
+),
+levels as (
+    select 0 as level, lang, source, measure, bucket, n from sketch
+    union all
+    select 1, lang, null, measure, bucket, sum(n) from sketch group by all
+    union all
+    select 2, null, null, measure, bucket, sum(n) from sketch group by all
+),
+ranked as (
+    select *, sum(n) over (partition by level, lang, source, measure order by bucket) as below,
+        sum(n) over (partition by level, lang, source, measure) as size
+    from levels
+),
+quartiles as (
+    select level, lang, source, measure, max(size) as size,
+        min(bucket) filter (4 * below >= size) as q1, min(bucket) filter (4 * below >= 3 * size) as q3
+    from ranked group by all
+),
+limits as (
+    select level, lang, source, max(size) as size,
+        max(q1 - greatest(3 * (q3 - q1), 200)) filter (measure = 'word_length') as length_low,
+        max(q3 + greatest(3 * (q3 - q1), 200)) filter (measure = 'word_length') as length_high,
+        max(q3 + greatest(3 * (q3 - q1), 50)) filter (measure = 'symbol_rate') as symbol_high,
+        max(q3 + greatest(3 * (q3 - q1), 500)) filter (measure = 'dup_line_rate') as dup_high
+    from quartiles group by all
+),
+chosen as (
+    select o.lang, o.source,
+        case when o.size >= 100 then o when t.size >= 100 then t else e end as l
+    from limits o
+    join limits t on t.level = 1 and t.lang is not distinct from o.lang
+    join limits e on e.level = 2
+    where o.level = 0
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    not base_failed and word_length between l.length_low and l.length_high
+        and symbol_rate <= l.symbol_high and dup_line_rate <= l.dup_high as kept
+from measured m join chosen c
+    on m.lang is not distinct from c.lang and m.source is not distinct from c.source
+"""
+
+
+@query(QUALITY_SQL)
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: the counts of the base rule and both verdicts."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules(docs, carry=docs.select("doc_id"))
+
+
+@query()
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its fingerprint and the smallest document of its group."""
+    return simhash_groups(table(spark, sf_dir, "documents"), carry=False)
+
+
 @query(
     r"""
 with lines as (
