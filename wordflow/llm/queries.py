@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordflow.llm.line_dedup import line_dedup
+from wordflow.llm.pieces import sentencepiece_decode, sentencepiece_encode
 from wordflow.llm.quality import quality_rules
 from wordflow.llm.simhash import simhash_groups
 
@@ -31,6 +33,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
 QUALITY_SQL = r"""
 with texts as (select doc_id, lang, source, coalesce(text, '') as text from documents),
 words as (
@@ -156,3 +160,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines, dropped lines, digest of what is left."""
     kept = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query()
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: digests of its ids and of the text that they decode to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = sentencepiece_decode(sentencepiece_encode(docs, PIECE_MODEL), PIECE_MODEL)
+    ids = F.array_join(F.col("pieces.ids").cast("array<string>"), ",")
+    return rows.select(
+        "doc_id",
+        F.size("pieces.ids").cast("bigint").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
