@@ -12,6 +12,7 @@ from wordflow.llm.line_dedup import line_dedup
 from wordflow.llm.pieces import sentencepiece_decode, sentencepiece_encode
 from wordflow.llm.quality import quality_rules
 from wordflow.llm.simhash import simhash_groups
+from wordflow.llm.warc import warc_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +36,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
+@query(
+    r"""
+with pages_ as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
+quints as (
+    select page_id, html, h, string_agg(
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 15) & 31) + 1, 1)
+        || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 10) & 31) + 1, 1)
+        || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((v >> 5) & 31) + 1, 1)
+        || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (v & 31) + 1, 1), '' order by i) as digest
+    from (select *, unnest(range(8)) as i from pages_),
+        lateral (select cast('0x' || substr(h, 5 * i + 1, 5) as integer) as v)
+    group by page_id, html, h
+),
+firsts as (select html, max(page_id) as largest from pages_ group by html)
+select page_id, strlen(q.html) as payload_bytes, digest as payload_digest,
+    case when page_id = largest then 'response' else 'revisit' end as record_type,
+    case when page_id <> largest then largest end as refers_to
+from quints q join firsts f on q.html = f.html
+"""
+)
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: its record, read back from normalised archives."""
+    pages = table(spark, sf_dir, "pages")
+    return warc_round_trip(pages).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUALITY_SQL = r"""
 with texts as (select doc_id, lang, source, coalesce(text, '') as text from documents),
 words as (
