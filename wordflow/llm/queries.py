@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wordflow.llm.line_dedup import line_dedup
 from wordflow.llm.pieces import sentencepiece_decode, sentencepiece_encode
 from wordflow.llm.quality import quality_rules
+from wordflow.llm.repeats import remove_repeats
 from wordflow.llm.simhash import simhash_groups
 from wordflow.llm.warc import warc_round_trip
 
@@ -203,3 +204,12 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(ids, 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query()
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: what is removed as repeated strings, and a digest of what is left."""
+    docs = table(spark, sf_dir, "documents")
+    return remove_repeats(docs, carry=docs.select("doc_id")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
