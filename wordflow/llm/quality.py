@@ -125,6 +125,16 @@ def bucket(value: Column) -> Column:
     return F.call_function("shiftleft", F.call_function("shiftright", value, spare), spare)
 
 
+def _levels(lang: str, source: str) -> Column:
+    """The group of a source, its language's and the one of all documents."""
+    none = F.lit(None).cast("string")
+    return F.array(
+        F.struct(F.lit(0).alias("level"), F.col(lang).alias("lang"), F.col(source).alias("source")),
+        F.struct(F.lit(1).alias("level"), F.col(lang).alias("lang"), none.alias("source")),
+        F.struct(F.lit(2).alias("level"), none.alias("lang"), none.alias("source")),
+    )
+
+
 def sketches(measured: DataFrame) -> DataFrame:
     """``level, lang, source, measure, bucket, n``: per source, per language and for all.
 
@@ -138,13 +148,7 @@ def sketches(measured: DataFrame) -> DataFrame:
         .groupBy("lang", "source", "v.measure", "v.bucket")
         .agg(F.count("*").alias("n"))
     )
-    none = F.lit(None).cast("string")
-    levels = F.array(
-        F.struct(F.lit(0).alias("level"), F.col("lang"), F.col("source")),
-        F.struct(F.lit(1).alias("level"), F.col("lang"), none.alias("source")),
-        F.struct(F.lit(2).alias("level"), none.alias("lang"), none.alias("source")),
-    )
-    spread = fine.select(F.explode(levels).alias("g"), "measure", "bucket", "n")
+    spread = fine.select(F.explode(_levels("lang", "source")).alias("g"), "measure", "bucket", "n")
     return spread.groupBy("g.level", "g.lang", "g.source", "measure", "bucket").agg(F.sum("n").alias("n"))
 
 
@@ -176,21 +180,19 @@ def limits(sketch: DataFrame) -> DataFrame:
 def _group_limits(found: DataFrame, min_group: int) -> DataFrame:
     """Limits per language and source, from the first level with enough documents."""
     names = [f"{m}_{side}" for m in FENCES for side in ("low", "high")]
-    values = F.struct("size", *names)
-    own = found.filter("level = 0").select("lang", "source", values.alias("own"))
-    tongue = found.filter("level = 1").select(F.col("lang").alias("l"), values.alias("tongue"))
-    everything = found.filter("level = 2").select(F.lit(0).alias("one"), values.alias("every"))
-    joined = (
-        own.join(tongue, own["lang"].eqNullSafe(tongue["l"]))
-        .withColumn("one", F.lit(0))
-        .join(everything, "one")
+    own = found.filter("level = 0").select(
+        F.col("lang").alias("l"), F.col("source").alias("s"), F.explode(_levels("lang", "source")).alias("g")
     )
-    chosen = (
-        F.when(F.col("own.size") >= min_group, F.col("own"))
-        .when(F.col("tongue.size") >= min_group, F.col("tongue"))
-        .otherwise(F.col("every"))
+    candidates = own.join(
+        found,
+        (F.col("g.level") == found["level"])
+        & F.col("g.lang").eqNullSafe(found["lang"])
+        & F.col("g.source").eqNullSafe(found["source"]),
     )
-    return joined.select("lang", "source", chosen.alias("limits"))
+    # The finest level that is large enough; the last one always is.
+    usable = (F.col("size") >= min_group) | (F.col("level") == 2)
+    chosen = F.min(F.when(usable, F.struct("level", *names))).alias("limits")
+    return candidates.groupBy(F.col("l").alias("lang"), F.col("s").alias("source")).agg(chosen)
 
 
 def quality_rules(
