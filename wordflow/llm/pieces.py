@@ -10,22 +10,26 @@ from __future__ import annotations
 import contextlib
 import heapq
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordflow.llm.sentencepiece_model import BYTE, CONTROL, UNKNOWN, Model, load
 
 # Stretches whose pieces a worker remembers, and the longest that is worth it.
-CACHE = 300_000
+CACHE = 150_000
 CACHED_CHARS = 64
 # From here on a queue finds the next merge faster than a look at all pairs.
 LONG = 64
 # Characters encoded before their result leaves the worker.
-SLICE = 4_000_000
+SLICE = 1_000_000
 NEVER = float("inf")
+# Bytes of an id and a size.
+PAIR = 8
 
 
 Made = dict[str, tuple[str, str]]
@@ -157,26 +161,46 @@ class Encoder:
             self.known[stretch] = found
         return found
 
-    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, and per id the bytes of ``text`` where it begins and ends."""
-        normal, begins = self.model.normalise(text or "")
+    def _pairs(self, normal: str) -> bytes:
         known, look_up = self.known.get, self._look_up
-        found = b"".join([known(s) or look_up(s) for s in self.model.chunks.findall(normal)])
-        pairs = np.frombuffer(found, np.int32).reshape(-1, 2)
+        return b"".join([known(s) or look_up(s) for s in self.model.chunks.findall(normal)])
+
+    def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, begins and ends of all texts in a row, and where each text's ids begin in them."""
+        found = [self.model.normalise(text or "") for text in texts]
+        packed = [self._pairs(normal) for normal, _ in found]
+        counts = np.array([len(p) // PAIR for p in packed], np.int64)
+        pairs = np.frombuffer(b"".join(packed), np.int32).reshape(-1, 2)
         ids, sizes = pairs[:, 0], pairs[:, 1].astype(np.int64)
+        owner = np.repeat(np.arange(len(texts)), counts)
         if not self.model.byte_fallback:
-            ids, sizes = _one_unknown(self.model, ids, sizes)
-        ends = np.cumsum(sizes)
-        return ids.copy(), begins[ends - sizes], begins[ends]
+            ids, sizes, owner = _one_unknown(self.model, ids, sizes, owner)
+            counts = np.bincount(owner, minlength=len(texts))
+        # Each text has one place more than characters, for its end.
+        ends = np.cumsum(sizes) + owner
+        places = np.concatenate([begins for _, begins in found]).astype(np.int32)
+        offsets = np.zeros(len(texts) + 1, np.int32)
+        np.cumsum(counts, out=offsets[1:])
+        return ids, places[ends - sizes], places[ends], offsets
+
+    def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and per id the bytes of ``text`` where it begins and ends."""
+        return self.encode_all([text])[:3]
+
+
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """A worker's encoder, kept from task to task."""
+    return Encoder(path)
 
 
-def _one_unknown(model: Model, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _one_unknown(model: Model, ids: np.ndarray, sizes: np.ndarray, owner: np.ndarray):
     """Unknown pieces in a row are one piece, across stretches too."""
     if not len(ids):
-        return ids, sizes
+        return ids, sizes, owner
     first = np.ones(len(ids), bool)
-    first[1:] = (ids[1:] != model.unknown) | (ids[:-1] != model.unknown)
-    return ids[first], np.add.reduceat(sizes, np.flatnonzero(first))
+    first[1:] = (ids[1:] != model.unknown) | (ids[:-1] != model.unknown) | (owner[1:] != owner[:-1])
+    return ids[first], np.add.reduceat(sizes, np.flatnonzero(first)), owner[first]
 
 
 def decode(model: Model, ids: list[int]) -> str:
@@ -214,28 +238,39 @@ def _decode_runs(raw: bytes) -> str:
     return "".join(made)
 
 
-def _slices(texts: pd.Series) -> Iterator[list]:
-    part, size = [], 0
-    for text in texts:
-        part.append(text)
-        size += len(text) if text is not None else 0
-        if size >= SLICE:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+def _slices(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``SLICE`` characters each, at least one row."""
+    begin = total = 0
+    for i, size in enumerate(sizes):
+        total += size
+        if total >= SLICE:
+            yield begin, i + 1
+            begin, total = i + 1, 0
+    if begin < len(sizes):
+        yield begin, len(sizes)
 
 
-def encoded(text: Column, model_path: str) -> Column:
-    """``ids, begins, ends`` of each text; nothing for null and empty ones."""
+def encoded(text: Column, model_path: str, back: bool = False) -> Column:
+    """``ids, begins, ends`` of each text, and with ``back`` the text ``decoded`` from the ids."""
+    kind = "ids array<int>, begins array<int>, ends array<int>" + ", decoded string" * back
 
-    @F.pandas_udf("ids array<int>, begins array<bigint>, ends array<bigint>")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(model_path)
+    @F.arrow_udf(kind)
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = encoder(model_path)
         for texts in batches:
-            for part in _slices(texts):
-                rows = [encoder.encode(text) for text in part]
-                yield pd.DataFrame(rows, columns=["ids", "begins", "ends"])
+            sizes = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
+            for begin, end in _slices(sizes):
+                ids, begins, ends, offsets = own.encode_all(texts[begin:end].to_pylist())
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(x))) for x in (ids, begins, ends)]
+                names = ["ids", "begins", "ends"]
+                if back:
+                    flat = ids.tolist()
+                    ranges = zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
+                    lists.append(pa.array([decode(own.model, flat[a:b]) for a, b in ranges], pa.string()))
+                    names.append("decoded")
+                yield pa.StructArray.from_arrays(lists, names)
+            if not len(texts):
+                yield pa.array([], pa.struct([(n, pa.list_(pa.int32())) for n in ("ids", "begins", "ends")] + [("decoded", pa.string())] * back))
 
     return of(text)
 
@@ -243,27 +278,27 @@ def encoded(text: Column, model_path: str) -> Column:
 def decoded(ids: Column, model_path: str) -> Column:
     """The text of each list of ids; empty for null and empty lists."""
 
-    @F.pandas_udf("string")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load(model_path)
         for lists in batches:
-            for part in _slices(lists):
-                yield pd.Series(["" if x is None else decode(model, x.tolist()) for x in part], dtype=object)
+            yield pa.array(["" if x is None else decode(model, x) for x in lists.to_pylist()], pa.string())
 
     return of(ids)
 
 
 def sentencepiece_encode(
-    docs: DataFrame, model_path: str, text_column: str = "text", out: str = "pieces"
+    docs: DataFrame, model_path: str, text_column: str = "text", out: str = "pieces", back: bool = False
 ) -> DataFrame:
     """The rows and a struct ``out`` of ``ids, begins, ends``: begins and ends count bytes of the text.
 
     Ids are those of the sentencepiece library without begin, end or sampling.
     Null and empty texts have no ids. Of the byte pieces of one character the last
-    spans it, the others span nothing. Rows may repeat; an input column named like
-    ``out`` is replaced; an empty table stays empty.
+    spans it, the others span nothing. With ``back`` the struct also has the text
+    ``decoded`` from the ids, in the same pass. Rows may repeat; an input column
+    named like ``out`` is replaced; an empty table stays empty.
     """
-    return docs.withColumn(out, encoded(F.col(f"`{text_column}`"), model_path))
+    return docs.withColumn(out, encoded(F.col(f"`{text_column}`"), model_path, back))
 
 
 def sentencepiece_decode(rows: DataFrame, model_path: str, ids: str = "pieces.ids", out: str = "decoded") -> DataFrame:

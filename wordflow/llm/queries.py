@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordflow.llm.line_dedup import line_dedup
-from wordflow.llm.pieces import sentencepiece_decode, sentencepiece_encode
+from wordflow.llm.pieces import sentencepiece_encode
 from wordflow.llm.quality import quality_rules
 from wordflow.llm.repeats import remove_repeats
 from wordflow.llm.simhash import simhash_groups
@@ -196,13 +196,13 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: digests of its ids and of the text that they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = sentencepiece_decode(sentencepiece_encode(docs, PIECE_MODEL), PIECE_MODEL)
+    rows = sentencepiece_encode(docs, PIECE_MODEL, back=True)
     ids = F.array_join(F.col("pieces.ids").cast("array<string>"), ",")
     return rows.select(
         "doc_id",
         F.size("pieces.ids").cast("bigint").alias("n_tokens"),
         F.sha2(ids, 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2("pieces.decoded", 256).alias("decoded_sha256"),
     )
 
 
