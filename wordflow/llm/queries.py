@@ -8,12 +8,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordflow.llm.decontamination import contaminated
 from wordflow.llm.line_dedup import line_dedup
+from wordflow.llm.lm import lm_scores
 from wordflow.llm.pieces import sentencepiece_encode
 from wordflow.llm.quality import quality_rules
 from wordflow.llm.repeats import remove_repeats
 from wordflow.llm.simhash import simhash_groups
+from wordflow.llm.token_counts import (
+    Rollup,
+    count_documents,
+    deletes,
+    inserts,
+    later_copies,
+    revisions,
+)
+from wordflow.llm.toxicity import fit_toxicity, held_out, labelled_sample, toxicity_scores
 from wordflow.llm.warc import warc_round_trip
+from wordflow.session import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +47,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 @query(
@@ -213,3 +226,40 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(docs, carry=docs.select("doc_id")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query()
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document and benchmark item that it leaks: how much of it, and where."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after four commits: guesses, the counts in their place, copies out, the counts once more."""
+    counted = count_documents(
+        table(spark, sf_dir, "documents"), "byte_bpe_50k", BYTE_RANKS, public_tokenizers.PATTERN
+    )
+    rollup = Rollup(spark, shared_folder(spark, "rollup"))
+    rollup.commit("guesses", inserts(counted, "guess"))
+    rollup.commit("counts", revisions(counted, "guess", "tokens"))
+    rollup.commit("copies", deletes(later_copies(counted)))
+    rollup.commit("counts", revisions(counted, "guess", "tokens"))
+    return rollup.totals()
+
+
+@query()
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its words and their summed and mean log-probability."""
+    docs = table(spark, sf_dir, "documents")
+    return lm_scores(docs, carry=docs.select("doc_id"))
+
+
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its score, learned from the labels of rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+    model = fit_toxicity(labelled_sample(docs, labels))
+    scored = toxicity_scores(docs, model, carry=docs.select("doc_id"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_clauses")

@@ -64,9 +64,9 @@ def _printable(uri: str) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m.group()):02X}", uri)
 
 
-def record_bytes(page: int | None, uri: str | None, payload: bytes, refers: int | None, spare: str) -> bytes:
+def record_bytes(page: str | None, uri: str | None, payload: bytes, refers: str | None, spare: str) -> bytes:
     """One record. A revisit keeps the HTTP head, whose length is that of the full payload."""
-    name = spare if page is None else str(page)
+    name = spare if page is None else page
     head = HTTP_OK.format(len(payload)).encode()
     block = head if refers is not None else head + payload
     fields = {
@@ -84,10 +84,6 @@ def record_bytes(page: int | None, uri: str | None, payload: bytes, refers: int
     return VERSION + b"\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n"
 
 
-def _whole(value) -> int | None:
-    return None if pd.isna(value) else int(value)
-
-
 def write_archives(
     pages: DataFrame,
     folder: str,
@@ -118,8 +114,11 @@ def write_archives(
         .select("digest", "size", "largest")
     )
     own = F.col("page_id").isNotNull() & (F.col("page_id") == F.col("largest"))
-    refers = F.when(~own, F.col("largest")).alias("refers_to")
-    records = rows.join(first, ["digest", "size"], "left").select("page_id", "url", "payload", refers)
+    refers = F.when(~own, F.col("largest"))
+    # Ids travel as text: pandas would turn whole numbers with nulls into floats.
+    records = rows.join(first, ["digest", "size"], "left").select(
+        F.col("page_id").cast("string").alias("page_id"), "url", "payload", refers.cast("string").alias("refers_to")
+    )
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, path, packer, size, n = None, "", None, 0, 0
@@ -132,7 +131,7 @@ def write_archives(
                     path = f"{folder}/{uuid.uuid4().hex}.warc.gz"
                     out, packer, size, n = _open_out(path), zlib.compressobj(LEVEL, wbits=GZIP), 0, 0
                 spare = f"none-{token}-{n}"
-                record = record_bytes(_whole(page), url, bytes(body), _whole(refer), spare)
+                record = record_bytes(page, url, bytes(body), refer, spare)
                 out.write(packer.compress(record))
                 size, n = size + len(record), n + 1
                 if size >= ARCHIVE_BYTES:
