@@ -25,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +49,9 @@ SHIFT = np.uint64(29)
 ANCHORS = "doc bigint, at bigint, lo bigint, hi bigint, gram bigint, around bigint"
 STARTS = "doc bigint, lo bigint, hi bigint"
 WINDOWS = "gram bigint, window bigint, doc bigint, lo bigint, weight int"
+NONE = np.zeros(0, np.int64)
+# Texts that are cut before their result leaves a worker.
+SLICE = 500
 RESULTS = ["kept", "n_bytes", "n_removed", "n_spans"]
 
 
@@ -269,30 +273,38 @@ def _each_window(length: int):
     return rows
 
 
-def _removed(length: int):
-    names = ["kept", "n_bytes", "n_removed", "n_spans"]
-
-    @F.pandas_udf("kept binary, n_bytes bigint, n_removed bigint, n_spans bigint")
-    def of(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
-        rows = [cut(text, found, length) for text, found in zip(texts, starts, strict=True)]
-        return pd.DataFrame(rows, columns=names)
-
-    return of
-
-
-def cut(text: str | None, starts, length: int) -> tuple[bytes, int, int, int]:
-    """The bytes outside all windows that begin in the ranges ``starts``, and three counts."""
-    raw = (text or "").encode()
-    if starts is None:
+def cut(raw: bytes, starts: np.ndarray, length: int) -> tuple[bytes, int, int, int]:
+    """The bytes outside all windows that begin in ``starts`` (first and last, packed), and three counts."""
+    if not len(starts):
         return raw, len(raw), 0, 0
     edges = np.zeros(len(raw) + 1, np.int64)
-    np.add.at(edges, [s["lo"] for s in starts], 1)
-    np.add.at(edges, [s["hi"] + length for s in starts], -1)
+    np.add.at(edges, starts >> 32, 1)
+    np.add.at(edges, (starts & 0xFFFFFFFF) + length, -1)
     gone = np.cumsum(edges[:-1]) > 0
     spans = int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1))
     return np.frombuffer(raw, np.uint8)[~gone].tobytes(), len(raw), int(gone.sum()), spans
 
 
+def _removed(length: int):
+    """The cut texts, in Arrow arrays of ``SLICE`` rows: lists of starts never become Python objects."""
+
+    @F.arrow_udf("kept binary, n_bytes bigint, n_removed bigint, n_spans bigint")
+    def of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, starts in batches:
+            for begin in range(0, max(1, len(texts)), SLICE):
+                part, found = texts[begin : begin + SLICE], starts[begin : begin + SLICE]
+                rows = [
+                    cut(text.as_py().encode(), x.values.to_numpy() if x.is_valid else NONE, length)
+                    for text, x in zip(part, found, strict=True)
+                ]
+                columns = list(zip(*rows, strict=True)) or [[], [], [], []]
+                arrays = [pa.array(columns[0], pa.binary())]
+                arrays += [pa.array(c, pa.int64()) for c in columns[1:]]
+                yield pa.StructArray.from_arrays(arrays, RESULTS)
+
+    return of
+
+
 def remove_repeats(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -333,7 +345,7 @@ def remove_repeats(
     windows = many.mapInPandas(_each_window(length), WINDOWS)
     twice = windows.groupBy("gram", "window").agg(F.sum("weight").alias("n")).filter("n > 1")
     dealt = windows.join(twice, ["gram", "window"]).select("doc", "lo", F.col("lo").alias("hi"))
-    starts = whole.union(rims).union(dealt).groupBy("doc").agg(F.collect_list(F.struct("lo", "hi")).alias("starts"))
+    starts = whole.union(rims).union(dealt).groupBy("doc").agg(F.collect_list(F.shiftleft("lo", 32).bitwiseOR(F.col("hi"))).alias("starts"))
     made = named.join(starts, "doc", "left").select(
         "row", _removed(length)(F.col("text"), F.col("starts")).alias("made")
     )
