@@ -120,9 +120,17 @@ def _measured(docs: DataFrame, carried: DataFrame, lang: str, source: str, text:
 
 
 def bucket(value: Column) -> Column:
-    """The value with all but its leading bits cleared."""
-    spare = F.greatest(F.length(F.bin(value)) - LEADING_BITS, F.lit(0))
-    return F.call_function("shiftleft", F.call_function("shiftright", value, spare), spare)
+    """The value with all but its leading bits cleared: the least value of its bucket."""
+    return F.call_function("shiftleft", F.call_function("shiftright", value, _spare(value)), _spare(value))
+
+
+def _spare(value: Column) -> Column:
+    return F.greatest(F.length(F.bin(value)) - LEADING_BITS, F.lit(0))
+
+
+def bucket_end(least: Column) -> Column:
+    """The greatest value of a bucket."""
+    return least + F.call_function("shiftleft", F.lit(1).cast("bigint"), _spare(least)) - 1
 
 
 def _levels(lang: str, source: str) -> Column:
@@ -172,7 +180,7 @@ def limits(sketch: DataFrame) -> DataFrame:
         low = F.col("q1") - reach if fence.low else F.lit(None).cast("bigint")
         found += [
             F.max(F.when(is_it, low)).alias(f"{measure}_low"),
-            F.max(F.when(is_it, F.col("q3") + reach)).alias(f"{measure}_high"),
+            F.max(F.when(is_it, bucket_end(F.col("q3")) + reach)).alias(f"{measure}_high"),
         ]
     return quartiles.groupBy("level", "lang", "source").agg(F.max("size").alias("size"), *found)
 

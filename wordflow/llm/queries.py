@@ -135,15 +135,16 @@ ranked as (
 ),
 quartiles as (
     select level, lang, source, measure, max(size) as size,
-        min(bucket) filter (4 * below >= size) as q1, min(bucket) filter (4 * below >= 3 * size) as q3
+        min(bucket) filter (4 * below >= size) as q1, min(bucket) filter (4 * below >= 3 * size) as q3,
+        q3 + (cast(1 as bigint) << greatest(length(bin(q3)) - 6, 0)) - 1 as top
     from ranked group by all
 ),
 limits as (
     select level, lang, source, max(size) as size,
         max(q1 - greatest(3 * (q3 - q1), 200)) filter (measure = 'word_length') as length_low,
-        max(q3 + greatest(3 * (q3 - q1), 200)) filter (measure = 'word_length') as length_high,
-        max(q3 + greatest(3 * (q3 - q1), 50)) filter (measure = 'symbol_rate') as symbol_high,
-        max(q3 + greatest(3 * (q3 - q1), 500)) filter (measure = 'dup_line_rate') as dup_high
+        max(top + greatest(3 * (q3 - q1), 200)) filter (measure = 'word_length') as length_high,
+        max(top + greatest(3 * (q3 - q1), 50)) filter (measure = 'symbol_rate') as symbol_high,
+        max(top + greatest(3 * (q3 - q1), 500)) filter (measure = 'dup_line_rate') as dup_high
     from quartiles group by all
 ),
 chosen as (
