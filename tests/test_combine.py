@@ -4,7 +4,7 @@ from conftest import plan_of
 
 from pyspark.sql import functions as F
 
-from wordflow.functions.mergeable import ELEMENT_COUNT, Mergeable, Part, greatest
+from wordflow.functions.mergeable import ELEMENT_COUNT, LONGEST_WORD, Mergeable, Part, greatest
 from wordflow.operators.combine import combine_globally
 from wordflow.operators.running import running_combine
 from wordflow.plans.words import average_word_length, longest_word
@@ -58,3 +58,18 @@ def test_own_mergeable_over_all_and_running(spark):
 def test_tasks_reduce_before_rows_meet(lines):
     plan = plan_of(average_word_length(lines((0, "a"))))
     assert "partial_sum" in plan
+
+
+def test_null_order_keys_come_first(spark):
+    rows = [(None, 1, "aaa"), (5, 2, "bbb"), (None, 0, "ccc"), (1, 3, "d")]
+    df = spark.createDataFrame(rows, "t bigint, id bigint, word string")
+    assert combine_globally(df, LONGEST_WORD, order=["t", "id"]).first().word == "ccc"
+    named = df.withColumnRenamed("word", "element")
+    running = running_combine(named, LONGEST_WORD, ["t", "id"], element="element", ranges=2)
+    assert {row.word for row in running.collect()} == {"ccc"}
+
+
+def test_the_least_number_orders_too(spark):
+    rows = [(-(2**63), "aaa"), (2**63 - 1, "bbb")]
+    df = spark.createDataFrame(rows, "id bigint, word string")
+    assert combine_globally(df, LONGEST_WORD, order=["id"]).first().word == "aaa"

@@ -5,7 +5,6 @@ from conftest import TOP_K_LINES, TOP_K_RESULT, plan_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from wordflow.operators import counts
 from wordflow.operators.counts import top_k
 from wordflow.plans.words import top_k_words, windowed_word_count, word_count
 
@@ -45,7 +44,8 @@ def test_fewer_words_than_k(lines):
 
 def test_tasks_keep_k_rows_before_the_shuffle(lines):
     plan = plan_of(top_k_words(lines(*TOP_K_LINES), "10 seconds", 3))
-    assert plan.count("WindowGroupLimit") == 2
+    # Before and after the shuffle into slices, and again into windows.
+    assert plan.count("WindowGroupLimit") == 4
     assert "SinglePartition" not in plan
 
 
@@ -55,16 +55,22 @@ def test_large_k_is_thinned_in_slices_and_exact(spark):
     found = top_k(counted, 1200, "g")
     assert found.columns == ["g", "word", "n", "rank"]
     assert [row.word for row in found.orderBy("rank").collect()] == wanted
-    assert "slice" in plan_of(found)
-    assert [row.word for row in top_k(counted, 7, "g").orderBy("rank").collect()] == wanted[:7]
+    small = top_k(counted, 7, "g")
+    assert [row.word for row in small.orderBy("rank").collect()] == wanted[:7]
+    # One plan for all k. The only group is a constant, so the last step has no limits of its own.
+    assert plan_of(small).count("WindowGroupLimit") == plan_of(found).count("WindowGroupLimit") == 2
+    assert operators(found) == operators(small)
+    assert "SPARK_PARTITION_ID" not in plan_of(found)
 
 
-def test_many_tasks_meet_in_slices(lines, monkeypatch):
-    monkeypatch.setattr(counts, "MEETING_ROWS", 0)
-    top = top_k_words(lines(*TOP_K_LINES), "10 seconds", 3)
-    assert plan_of(top).count("WindowGroupLimit") == 4
-    rows = top.orderBy("window_start", "rank").collect()
-    assert [(row.word, row.n) for row in rows] == TOP_K_RESULT
+def operators(df):
+    return [line.strip(" +-:*()0123456789").split()[0] for line in plan_of(df).splitlines() if line.strip()]
+
+
+def test_columns_may_be_called_slice_and_rank_is_replaced(spark):
+    rows = [("a", 3, 1), ("b", 2, 1), ("c", 1, 1)]
+    counted = spark.createDataFrame(rows, "word string, n int, slice int")
+    assert sorted(row.word for row in top_k(counted, 2, "slice").collect()) == ["a", "b"]
 
 
 TIMED = st.lists(

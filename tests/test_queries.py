@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as driver
 from tools.check import compare
+from wordflow.plans.catalog import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -22,13 +23,15 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.keys() <= driver.queries().keys()
+    assert ORACLES.keys() <= driver.oracle_sql().keys() <= driver.queries().keys()
 
 
 def test_entry(spark):
     assert driver.entry(spark).columns == ["word", "n"]
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_same_rows_as_sql(spark, tables, name):
     assert compare(spark, tables, name, SF_DIR).startswith("ok")

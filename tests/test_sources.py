@@ -4,15 +4,25 @@ import sys
 import time
 
 import pytest
+from conftest import plan_of
 from pyspark.errors import AnalysisException
 
+from wordflow.operators.tokens import words
 from wordflow.plans.words import word_count
 from wordflow.session import shared_folder
 from wordflow.sinks.prints import print_stream
 from wordflow.sources.kafka import kafka_records
-from wordflow.sources.replay import paced_lines
-from wordflow.sources.tables import spread
-from wordflow.sources.text import lines_from, stream_text_lines, text_lines, without_skipped
+from wordflow.sources.replay import paced_lines, replay_table
+from wordflow.sources.tables import INPUT_TASKS, spread
+from wordflow.sources.text import (
+    PINNED,
+    lines_from,
+    numbered_text_lines,
+    placed_text_lines,
+    stream_text_lines,
+    text_lines,
+    without_skipped,
+)
 from wordflow.streaming.runs import run_available
 
 
@@ -65,11 +75,61 @@ def test_stream_of_text_takes_all_there_is(spark, tmp_path):
     assert [sorted(batch) for batch in rows] == [["a", "b"]]
 
 
-def test_spread_small_inputs_only(spark):
+def test_spread_only_where_the_session_asks(spark):
     few = spark.range(0, 100, 1, 1)
-    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 50)
-    assert spread(many) is many
+    assert spread(few) is few
+    assert "Exchange" not in plan_of(words(spread(few).selectExpr("string(id) as line")))
+    spark.conf.set(INPUT_TASKS, "3")
+    try:
+        assert spread(few).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset(INPUT_TASKS)
+
+
+@pytest.mark.parametrize("files", [1, 3])
+@pytest.mark.parametrize("folder", [True, False])
+def test_a_table_is_replayed_as_file_or_folder(spark, tmp_path, files, folder):
+    rows = spark.range(0, 60, 1, files).selectExpr("id", "string(id) as line")
+    path = str(tmp_path / "events.parquet")
+    rows.write.parquet(path)
+    if not folder:
+        parts = sorted((tmp_path / "events.parquet").glob("part-*"))
+        (tmp_path / "single").mkdir()
+        parts[0].rename(tmp_path / "single" / "events.parquet")
+        path = str(tmp_path / "single" / "events.parquet")
+    batches = stream_batches(spark, replay_table(spark, path, files_per_trigger=1), tmp_path / "state")
+    assert sorted(r for b in batches for r in b) == sorted(r.id for r in spark.read.parquet(path).collect())
+    assert sum(map(bool, batches)) == (files if folder else 1)
+
+
+def stream_batches(spark, stream, state):
+    found = []
+    writer = stream.writeStream.foreachBatch(lambda b, _: found.append([r.id for r in b.collect()]))
+    run_available(spark, writer.option("checkpointLocation", str(state)))
+    return found
+
+
+def test_lines_are_placed_without_moving_them(spark, tmp_path):
+    write_in_order(tmp_path / "in", ["a\nb\n", "c\n", "d\ne\nf\n"])
+    placed = placed_text_lines(spark, str(tmp_path / "in"))
+    rows = placed.orderBy("place").collect()
+    assert [r.place for r in rows] == list(range(6))
+    order = "".join(r.line for r in rows)
+    assert all(run in order for run in ("ab", "c", "def"))
+    plan = plan_of(placed)
+    # What is exchanged is the counts per split and their sums.
+    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+
+
+def test_numbers_need_pinned_splits(spark, tmp_path):
+    pinned = spark.conf.get(PINNED)
+    spark.conf.unset(PINNED)
+    try:
+        with pytest.raises(ValueError, match="minPartitionNum"):
+            numbered_text_lines(spark, str(tmp_path))
+        assert spark.conf.get(PINNED, None) is None
+    finally:
+        spark.conf.set(PINNED, pinned)
 
 
 def test_shared_folder_is_new_each_time(spark):

@@ -1,8 +1,14 @@
 import pytest
-
+from conftest import plan_of
 from pyspark.sql import functions as F
 
-from wordflow.operators.stamps import DATE_FORMATS, _shape, normalise_stamps
+from wordflow.operators.stamps import (
+    DATE_FORMATS,
+    _shape,
+    judge_stamps,
+    normalise_stamps,
+    write_stamps,
+)
 
 
 @pytest.fixture
@@ -74,3 +80,20 @@ def test_no_date_is_lost_to_its_shape(spark):
         texts = times.select(F.concat(F.date_format("t", each), F.lit(";x")).alias("line"))
         accepted, _ = normalise_stamps(texts, formats=[each])
         assert accepted.count() == 2, each
+
+
+def test_both_outputs_in_one_pass(spark, tmp_path):
+    frame = spark.createDataFrame(
+        [(1, "2024-01-02;a;b"), (2, "no date"), (3, "soon;x"), (4, "2024-01-02;")], "id int, line string"
+    )
+    judged = judge_stamps(frame)
+    assert judged.columns == ["id", "line", "date", "rest", "stamp", "outcome"]
+    write_stamps(judged, str(tmp_path / "out"))
+    rows = {(r.id, r.outcome, r.line) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert rows == {
+        (1, "accepted", "2024-01-02T00:00:00+00:00;a;b"),
+        (2, "missing_semicolon", "no date"),
+        (3, "unparsable_date", "soon;x"),
+        (4, "missing_semicolon", "2024-01-02;"),
+    }
+    assert plan_of(judged).count("Scan") == 1

@@ -9,6 +9,8 @@ from conftest import TOP_K_LINES, TOP_K_RESULT
 
 from wordflow.functions.mergeable import AVERAGE_LENGTH, LONGEST_WORD
 from wordflow.operators.tokens import words
+from wordflow.plans import catalog
+from wordflow.plans.catalog import QUERIES, _in_turn, _timed_event_lines
 from wordflow.plans.words import windowed_word_count
 from wordflow.sinks.batches import batch_folders
 from wordflow.sources.replay import replay_stream
@@ -73,6 +75,19 @@ def test_longest_word_golden(spark, replay, tmp_path):
     assert by_batch(spark, out, "word") == ["a", "bb", "ccc", "ccc", "ccc"]
 
 
+def test_no_result_before_the_first_word(spark, replay, tmp_path):
+    source = replay([(0, "?")], [(10, "a")], [(20, "?")], [(30, "bb")])
+    so_far = combine_so_far(
+        words(source.withWatermark("ts", "0 seconds")),
+        LONGEST_WORD,
+        order=["ts", "id", "pos"],
+        repeat_last=True,
+    )
+    out = str(tmp_path / "out")
+    run_available(spark, running_stream(so_far, batch_folders(out), str(tmp_path / "state")))
+    assert by_batch(spark, out, "word") == ["a", "a", "bb", "bb"]
+
+
 def test_average_golden(spark, replay, tmp_path):
     source = replay([(0, "a")], [(10, "bb")], [(15, "?")], [(20, "ccc")])
     so_far = combine_so_far(words(source, pos=None), AVERAGE_LENGTH)
@@ -155,3 +170,39 @@ def test_end_leaves_no_rows_of_its_own(spark, replay, tmp_path):
     found = counts_of(spark, replay([(0, "a")]), tmp_path)
     assert found == [(0, "a", 1)]
     assert spark.read.parquet(str(tmp_path / "end")).first().ts == datetime(9999, 1, 1)
+
+
+STREAM_QUERIES = [
+    "stream_windowed_word_count",
+    "stream_windowed_word_count_late",
+    "stream_top_k_words",
+    "stream_longest_word",
+    "stream_average_word_length",
+]
+
+
+@pytest.mark.parametrize("name", STREAM_QUERIES)
+def test_queries_take_a_table_as_file_or_folder(spark, tmp_path, name):
+    """The same rows for both layouts, from more than one micro-batch with data."""
+    source = "/root/testdata/sf0.001/events.parquet"
+    spark.read.parquet(source).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    seen = []
+    for sf_dir in (os.path.dirname(source), str(tmp_path)):
+        rows = QUERIES[name](spark, sf_dir).collect()
+        seen.append(sorted(map(str, rows)))
+    assert seen[0] == seen[1] and seen[0]
+    assert len(_in_turn(_timed_event_lines(spark, str(tmp_path)))) > 1
+
+
+@pytest.mark.parametrize("lateness", ["0 seconds", "6 hours", "3 days"])
+def test_lateness_decides_the_late_query(spark, lateness, monkeypatch):
+    def other(*args, **options):
+        return count_stream(*args, **{**options, "lateness": lateness})
+
+    monkeypatch.setattr(catalog, "count_stream", other)
+    sf_dir = "/root/testdata/sf0.001"
+    found = catalog.QUERIES["stream_windowed_word_count_late"](spark, sf_dir)
+    total = found.agg({"n": "sum"}).first()[0]
+    monkeypatch.undo()
+    wanted = catalog.QUERIES["stream_windowed_word_count_late"](spark, sf_dir).agg({"n": "sum"}).first()[0]
+    assert (total > wanted) - (total < wanted) == {"0": -1, "6": 0, "3": 1}[lateness[0]]

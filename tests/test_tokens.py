@@ -1,5 +1,6 @@
 import re
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -56,3 +57,12 @@ def test_same_as_split_on_non_word_characters(spark, texts):
         if i not in longest or len(word) > len(longest[i][2]):
             longest[i] = (i, pos, word)
     assert sorted(as_rows(longest_words(df))) == sorted(longest.values())
+
+
+@pytest.mark.parametrize("name", ["word", "pos", "POS"])
+def test_names_that_are_given_out_must_be_free(spark, name):
+    rows = spark.createDataFrame([("a b", 1)], f"line string, {name} int")
+    for find in (words, longest_words):
+        with pytest.raises(ValueError, match="rename"):
+            find(rows)
+    assert words(rows, word="w", pos="p").columns == [name, "p", "w"]

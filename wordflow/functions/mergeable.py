@@ -58,8 +58,16 @@ def greatest(lift: Lift) -> Part:
 
 
 def _longest_first(element: Column, order: Sequence[Column]) -> Column:
-    # Negated order numbers: among words of one length the earliest is greatest.
-    earliest = [(-number).alias(f"order_{i}") for i, number in enumerate(order)]
+    # Complements turn an order round and overflow nowhere: among words of one length
+    # the earliest is greatest. Nulls come first in an order, so their flag is greatest.
+    earliest = [
+        column
+        for i, number in enumerate(order)
+        for column in (
+            number.isNull().alias(f"null_{i}"),
+            F.bitwise_not(number).alias(f"order_{i}"),
+        )
+    ]
     return F.struct(F.length(element).alias("length"), *earliest, element.alias("word"))
 
 

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 WINDOW = ("window_start", "window_end")
 
-# More rows of one group than this meet in one task by way of slices.
-MEETING_ROWS = 1_000_000
+# Names that no table has.
+SLICE, RANK = "__slice", "__rank"
 
 
 def count_per_element(elements: DataFrame, *by: str, n: str = "n") -> DataFrame:
@@ -38,24 +36,20 @@ def count_per_window(
 def top_k(counts: DataFrame, k: int, *group: str, element: str = "word", n: str = "n") -> DataFrame:
     """The ``k`` largest counts of each group; equal counts go by ``element``.
 
-    Spark keeps only ``k`` rows per group and task before it brings a group
-    together. Where that leaves much, or ``k`` is above the session's limit for
-    it, the tasks' rows meet in slices of the group first.
+    One path for every ``k``: the words of a group are dealt into as many slices as
+    there are tasks, by a hash, and each slice keeps its ``k`` best; what is left,
+    ``k`` rows per slice at most, meets in the group's task. Sessions from
+    ``build_session`` drop rows beyond ``k`` before each of the two shuffles too,
+    for any ``k``.
     """
-    conf = counts.sparkSession.conf
-    tasks = int(conf.get("spark.sql.shuffle.partitions"))
-    pruned_up_to = int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     best_first = [F.col(n).desc(), F.col(element).asc()]
-    if k > pruned_up_to or k * tasks > MEETING_ROWS:
-        in_slice = Window.partitionBy(*group, "slice").orderBy(*best_first)
-        counts = (
-            counts.withColumn("slice", F.spark_partition_id() % (math.isqrt(tasks) + 1))
-            .withColumn("rank", F.row_number().over(in_slice))
-            .filter(F.col("rank") <= k)
-            .drop("slice", "rank")
-        )
+    in_slice = Window.partitionBy(*group, SLICE).orderBy(*best_first)
     in_group = Window.partitionBy(*group).orderBy(*best_first)
-    return counts.withColumn("rank", F.row_number().over(in_group)).filter(F.col("rank") <= k)
+    sliced = counts.withColumn(SLICE, F.pmod(F.xxhash64(element), F.lit(tasks)))
+    best = sliced.withColumn(RANK, F.row_number().over(in_slice)).filter(F.col(RANK) <= k)
+    best = best.drop(SLICE, RANK)
+    return best.withColumn("rank", F.row_number().over(in_group)).filter(F.col("rank") <= k)
 
 
 def top_k_per_window(counts: DataFrame, k: int, element: str = "word", n: str = "n") -> DataFrame:

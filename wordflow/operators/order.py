@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 # Makes shares differ by some 15 percent.
 SAMPLES_PER_RANGE = 50
+# A name that no table has.
+KEY = "__order_key"
 
 
 def _micros(local: Column) -> Column:
@@ -74,13 +76,13 @@ def with_range(
     names = _key_names(order)
     fields = ", ".join(f"{key}: bigint" for key in names)
     key = F.struct(*[n.alias(k) for n, k in zip(order_numbers(rows, order), names)])
-    placed = rows.withColumns({name: F.lit(0), "order_key": key})
+    placed = rows.withColumns({name: F.lit(0), KEY: key})
     for bit in reversed(range(len(points).bit_length())):
         step = 2**bit
         text = json.dumps([dict(zip(names, point)) for point in points[step - 1 :: 2 * step]])
         table = F.from_json(F.lit(text), f"array<struct<{fields}>>")
         point = F.get(table, F.shiftright(name, bit + 1))
         placed = placed.withColumn(
-            name, F.when(point < F.col("order_key"), F.col(name) + step).otherwise(F.col(name))
+            name, F.when(point < F.col(KEY), F.col(name) + step).otherwise(F.col(name))
         )
-    return placed.drop("order_key")
+    return placed.drop(KEY)

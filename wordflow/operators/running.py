@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from wordflow.functions.mergeable import Mergeable
 from wordflow.operators.order import order_numbers, split_points, with_range
 
-RANGE = "order_range"
+# A name that no table has.
+RANGE = "__order_range"
 
 
 def _one_element_per_row(rows: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 SEPARATOR = ";"
 STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ssxxx"
 
-# Reasons for a reject.
+# Outcomes: accepted, and the reasons for a reject.
+ACCEPTED = "accepted"
 MISSING_SEMICOLON = "missing_semicolon"
 UNPARSABLE_DATE = "unparsable_date"
 
@@ -53,16 +54,15 @@ def _read_date(date: Column, date_format: str) -> Column:
     return F.when(date.rlike(shape), read) if shape else read
 
 
-def normalise_stamps(
+def judge_stamps(
     lines: DataFrame, formats: Sequence[str] = DATE_FORMATS, line: str = "line"
-) -> tuple[DataFrame, DataFrame]:
-    """Lines ``date;rest`` as (accepted, rejected) frames; other columns stay.
+) -> DataFrame:
+    """The lines with ``date``, ``rest``, ``stamp`` and ``outcome``, each line read once.
 
-    Accepted rows have ``stamp``, in ISO form with seconds and the session zone's
-    offset, and ``rest``. Rejected rows keep the line and say why in ``reason``.
-    The first of ``formats`` that reads the date counts.
+    ``outcome`` is ``ACCEPTED`` or says why the line is rejected. ``stamp`` is in
+    ISO form with seconds and the session zone's offset, null for rejects. The
+    first of ``formats`` that reads the date counts.
     """
-    names = [name for name in lines.columns if name != line]
     halves = F.split(F.btrim(lines[line], F.lit(" \t")), SEPARATOR, 2)
     cut = lines.select(
         *[lines[name] for name in lines.columns],
@@ -70,16 +70,40 @@ def normalise_stamps(
         F.coalesce(F.get(halves, 1), F.lit("")).alias("rest"),
     )
     read = F.coalesce(*[_read_date(F.col("date"), each) for each in formats])
-    stamp = F.date_format(read, STAMP_FORMAT)
-    # Exploded, so that the filters below do not read the date a second time.
-    stamped = cut.select("*", F.explode(F.array(stamp)).alias("stamp"))
+    # Exploded, so that what follows does not read the date a second time.
+    stamped = cut.select("*", F.explode(F.array(F.date_format(read, STAMP_FORMAT))).alias("stamp"))
     complete = (F.col("date") != "") & (F.col("rest") != "")
-    reason = (
-        F.when(complete, F.when(F.col("stamp").isNull(), UNPARSABLE_DATE))
+    outcome = (
+        F.when(complete, F.when(F.col("stamp").isNull(), UNPARSABLE_DATE).otherwise(ACCEPTED))
         .otherwise(MISSING_SEMICOLON)
-        .alias("reason")
+        .alias("outcome")
     )
-    judged = stamped.select("*", reason)
-    accepted = judged.filter("reason is null").select(*names, "stamp", "rest")
-    rejected = judged.filter("reason is not null").select(*names, line, "reason")
-    return accepted, rejected
+    complete_stamp = F.when(complete, F.col("stamp"))
+    return stamped.select("*", outcome).withColumn("stamp", complete_stamp)
+
+
+def cleaned(judged: DataFrame, line: str = "line") -> DataFrame:
+    """``line`` as it goes out: ``stamp;rest`` where it was accepted, the line itself where not."""
+    joined = F.concat_ws(SEPARATOR, "stamp", "rest")
+    shown = F.when(F.col("outcome") == ACCEPTED, joined).otherwise(F.col(line))
+    return judged.withColumn(line, shown).drop("date", "rest", "stamp")
+
+
+def write_stamps(judged: DataFrame, folder: str, line: str = "line") -> None:
+    """Cleaned lines and rejects to a folder per outcome, in one pass."""
+    cleaned(judged, line).write.partitionBy("outcome").parquet(folder)
+
+
+def normalise_stamps(
+    lines: DataFrame, formats: Sequence[str] = DATE_FORMATS, line: str = "line"
+) -> tuple[DataFrame, DataFrame]:
+    """Lines ``date;rest`` as (accepted, rejected) frames; other columns stay.
+
+    Accepted rows have ``stamp`` and ``rest``; rejected rows keep the line and say
+    why in ``reason``. A job that wants both should write ``judge_stamps`` once.
+    """
+    names = [name for name in lines.columns if name != line]
+    judged = judge_stamps(lines, formats, line)
+    accepted = judged.filter(F.col("outcome") == ACCEPTED).select(*names, "stamp", "rest")
+    rejected = judged.filter(F.col("outcome") != ACCEPTED)
+    return accepted, rejected.select(*names, line, F.col("outcome").alias("reason"))

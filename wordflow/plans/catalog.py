@@ -9,20 +9,22 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from wordflow.functions.mergeable import AVERAGE_LENGTH, LONGEST_WORD
+from wordflow.operators.combine import combine_globally
 from wordflow.operators.event_time import assign_event_time
 from wordflow.operators.records import keyed_lines, to_records, value_lines, with_key
-from wordflow.operators.stamps import normalise_stamps
+from wordflow.operators.stamps import judge_stamps, normalise_stamps, write_stamps
 from wordflow.operators.tokens import words
 from wordflow.plans import words as jobs
-from wordflow.session import shared_folder
+from wordflow.session import SETTINGS, shared_folder
 from wordflow.sinks.batches import batch_folders
 from wordflow.sources.replay import paced_lines, replay_stream
 from wordflow.sources.tables import spread
-from wordflow.sources.text import text_lines, without_skipped
+from wordflow.sources.text import placed_text_lines, text_lines, without_skipped
 from wordflow.streaming.running import combine_so_far, running_stream
 from wordflow.streaming.runs import run_available, run_to_end
 from wordflow.streaming.windows import count_stream, top_k_stream
@@ -34,14 +36,23 @@ ORACLES: dict[str, str] = {}
 
 BASE = datetime(2024, 1, 1)
 
+# Settings of ``build_session`` that results or plans depend on.
+NEEDED = (
+    "spark.sql.session.timeZone",
+    "spark.sql.files.minPartitionNum",
+    "spark.sql.optimizer.windowGroupLimitThreshold",
+)
+
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
-        def in_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        def with_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # Callers bring sessions of their own, which may lack what the operators expect.
+            for key in NEEDED:
+                spark.conf.set(key, SETTINGS[key])
             return run(spark, sf_dir)
 
-        QUERIES[run.__name__] = in_utc
+        QUERIES[run.__name__] = with_settings
         if sql is not None:
             ORACLES[run.__name__] = sql
         return run
@@ -57,11 +68,12 @@ def _document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(documents.select("doc_id", F.col("text").alias("line")))
 
 
-def _records(events: DataFrame) -> DataFrame:
+def _records(events: DataFrame, *kept: str) -> DataFrame:
     """Events as keyed records: errors have no key, views no value."""
     return events.select(
         "event_id",
         "ts",
+        *kept,
         F.when(F.col("event_type") != "error", F.col("user_id")).alias("key"),
         F.when(
             F.col("event_type") != "view", F.concat_ws(" ", "event_type", "props")
@@ -77,11 +89,39 @@ def _event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_lines(_event_records(spark, sf_dir))
 
 
-def _event_line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    events = replay_stream(spark, sf_dir, schema, pattern="events.parquet")
-    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
-    return keyed_lines(_records(timed))
+TEN_DAYS = 864_000
+
+
+def _timed_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _event_lines(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _in_turn(lines: DataFrame, arrival: Column | None = None) -> list[DataFrame]:
+    """``lines`` cut by ``arrival`` into spans of ten days, earliest first.
+
+    The spans are few: they go by the length of the time that the table covers.
+    """
+    at = F.col("ts") if arrival is None else arrival
+    span = F.floor(F.unix_seconds(at) / TEN_DAYS)
+    found = lines.select(span.alias("span")).distinct().collect()
+    return [lines.filter(span == n) for n in sorted(row["span"] for row in found)]
+
+
+def _feed(spark: SparkSession, lines: DataFrame, folder: str) -> DataFrame:
+    """A stream of what will be put under ``folder``, in the shape of ``lines``."""
+    spark.createDataFrame([], lines.schema).write.parquet(folder)
+    return replay_stream(spark, folder, lines.schema)
+
+
+def _run_in_turn(
+    spark: SparkSession,
+    parts: list[DataFrame],
+    folder: str,
+    writer: Callable[[DataFrame], DataStreamWriter],
+) -> None:
+    """A micro-batch per part, then the end of all windows."""
+    stream = _feed(spark, parts[0], f"{folder}/in")
+    run_to_end(stream, f"{folder}/ending", writer, parts=parts, feed=f"{folder}/in")
 
 
 def _stamped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,18 +342,38 @@ def average_word_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(jobs.average_word_length(_document_lines(spark, sf_dir)))
 
 
-def _no_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _document_lines(spark, sf_dir).filter("line is null")
+def _wordless_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their word characters taken out, so that no word is found in them."""
+    hidden = F.regexp_replace("line", r"\w+", "?")
+    return _document_lines(spark, sf_dir).withColumn("line", hidden)
+
 
+WORDLESS = r"""
+hidden as (select regexp_replace(text, '\w+', '?', 'g') as text from documents),
+words as (select unnest(list_filter(regexp_split_to_array(text, '\W+'), lambda w: w <> '')) as word from hidden)"""
 
-@query("select coalesce(avg(length(text)), cast('nan' as double)) as avg_len from documents where text is null")
+
+@query(f"with {WORDLESS} select coalesce(avg(length(word)), cast('nan' as double)) as avg_len from words")
 def average_empty_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.average_word_length(_no_lines(spark, sf_dir))
+    return jobs.average_word_length(_wordless_lines(spark, sf_dir))
 
 
-@query("select cast(length(text) as double) as avg_len from documents where text is null")
+@query(f"with {WORDLESS} select avg(length(word)) as avg_len from words having count(*) > 0")
 def average_empty_no_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.average_word_length(_no_lines(spark, sf_dir), with_default=False)
+    return jobs.average_word_length(_wordless_lines(spark, sf_dir), with_default=False)
+
+
+@query(
+    """select lpad(cast(event_id as varchar), 12, '0') as word from events
+    order by case when event_type <> 'error' then ts end nulls first, event_id limit 1"""
+)
+def longest_word_null_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of equally long words the earliest, where errors have no time and so come first."""
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    known = F.when(F.col("event_type") != "error", F.col("ts"))
+    word = F.lpad(F.col("event_id").cast("string"), 12, "0")
+    rows = events.select("event_id", word.alias("word"), known.alias("known"))
+    return combine_globally(rows, LONGEST_WORD, order=["known", "event_id"], with_default=False)
 
 
 @query(
@@ -425,6 +485,22 @@ def stamps_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise_stamps(_stamped_lines(spark, sf_dir))[1]
 
 
+@query(
+    f"""with {STAMPED}
+    select event_id,
+        case when complete and t is not null then 'accepted' when complete then 'unparsable_date'
+            else 'missing_semicolon' end as outcome,
+        case when complete and t is not null
+            then strftime(t, '%Y-%m-%dT%H:%M:%S') || '+00:00;' || rest else line end as line
+    from judged"""
+)
+def stamps_written_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned lines and rejects from one pass over the lines, a folder per outcome."""
+    folder = shared_folder(spark, "stamps")
+    write_stamps(judge_stamps(_stamped_lines(spark, sf_dir)), folder)
+    return spark.read.parquet(folder).select("event_id", "outcome", "line")
+
+
 # Text files
 
 TEXT_LINES = r"""
@@ -454,6 +530,23 @@ def replayed_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.groupBy("line").agg(F.count("*").alias("n"))
 
 
+@query(
+    f"""with {TEXT_LINES}
+    select count(*) as lines, count(*) as places, 0 as first, count(*) - 1 as last,
+        sum(length(line)) as chars from lines"""
+)
+def text_line_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of text files are numbered through without gaps."""
+    placed = placed_text_lines(spark, _text_folder(spark, sf_dir))
+    return placed.agg(
+        F.count("*").alias("lines"),
+        F.count_distinct("place").alias("places"),
+        F.min("place").alias("first"),
+        F.max("place").alias("last"),
+        F.sum(F.length("line")).alias("chars"),
+    )
+
+
 # Streams
 
 
@@ -474,23 +567,56 @@ def stream_replayed_text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_windowed_sql("1 hour"))
 def stream_windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "windows")
-    run_to_end(
-        _event_line_stream(spark, sf_dir),
-        f"{folder}/ending",
+    _run_in_turn(
+        spark,
+        _in_turn(_timed_event_lines(spark, sf_dir)),
+        folder,
         lambda lines: count_stream(lines, "1 hour", f"{folder}/out", f"{folder}/state"),
     )
     return _ntz(spark.read.parquet(f"{folder}/out"), "window_start", "window_end")
 
 
-@query(_windowed_sql("1 day"))
+# Views come five hours late, errors two days.
+DELAYED_WORDS = f"""{RECORDS},
+arrivals as (
+    select l.event_id, l.ts, l.line, floor(epoch(l.ts + case e.event_type
+        when 'view' then interval '5 hours' when 'error' then interval '2 days'
+        else interval '0 hours' end) / {TEN_DAYS}) as span
+    from lines l join events e using (event_id)
+),
+marks as (
+    select span, max(max(ts)) over (order by span rows between unbounded preceding and 1 preceding)
+        - interval '6 hours' as mark
+    from arrivals group by span
+),
+on_time as (
+    select a.* from arrivals a join marks m using (span)
+    where mark is null
+        or time_bucket(interval '1 hour', ts, timestamp '1970-01-01') + interval '1 hour' > mark
+),
+pieces as (select event_id, ts, list_filter(regexp_split_to_array(line, '\\W+'), lambda w: w <> '') as a from on_time),
+words as (
+    select event_id, ts, unnest(range(len(a))) as pos, unnest(a) as word from pieces
+)"""
+
+
+@query(f"with {DELAYED_WORDS}, {_windowed('1 hour')} select * from counts")
 def stream_windowed_word_count_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Results wait for rows up to six hours late; there are none in one micro-batch."""
+    """Rows up to six hours late count. Five hours late ones do, some of those two days late don't."""
     folder = shared_folder(spark, "late")
-    run_to_end(
-        _event_line_stream(spark, sf_dir),
-        f"{folder}/ending",
-        lambda lines: count_stream(
-            lines, "1 day", f"{folder}/out", f"{folder}/state", lateness="6 hours"
+    events = _records(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_type")
+    lines = keyed_lines(events).withColumn("ts", F.col("ts").cast("timestamp"))
+    delay = (
+        F.when(F.col("event_type") == "view", F.expr("interval 5 hours"))
+        .when(F.col("event_type") == "error", F.expr("interval 2 days"))
+        .otherwise(F.expr("interval 0 hours"))
+    )
+    _run_in_turn(
+        spark,
+        _in_turn(lines, F.col("ts") + delay),
+        folder,
+        lambda stream: count_stream(
+            stream, "1 hour", f"{folder}/out", f"{folder}/state", lateness="6 hours"
         ),
     )
     return _ntz(spark.read.parquet(f"{folder}/out"), "window_start", "window_end")
@@ -498,28 +624,29 @@ def stream_windowed_word_count_late(spark: SparkSession, sf_dir: str) -> DataFra
 
 @query(
     f"""with {EVENT_WORDS}, {_windowed("1 hour")}
-    select * from counts
-    where window_start >= timestamp '2024-01-16' and window_end <= (select max(ts) from events)"""
+    select * from counts where window_start >= timestamp '2024-01-16'"""
 )
 def stream_late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The later half of the events comes first, so the earlier half is late."""
     folder = shared_folder(spark, "halves")
-    events = _event_lines(spark, sf_dir)
-    lines = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    lines = _timed_event_lines(spark, sf_dir)
     later = F.col("ts") >= "2024-01-16"
-    for half in (lines.filter(later), lines.filter(~later)):
-        half.write.mode("append").parquet(f"{folder}/in")
-        arrived = replay_stream(spark, f"{folder}/in", lines.schema)
-        run_available(spark, count_stream(arrived, "1 hour", f"{folder}/out", f"{folder}/state"))
+    _run_in_turn(
+        spark,
+        [lines.filter(later), lines.filter(~later)],
+        folder,
+        lambda stream: count_stream(stream, "1 hour", f"{folder}/out", f"{folder}/state"),
+    )
     return _ntz(spark.read.parquet(f"{folder}/out"), "window_start", "window_end")
 
 
 @query(_top_sql("1 day", 3))
 def stream_top_k_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "top")
-    run_to_end(
-        _event_line_stream(spark, sf_dir),
-        f"{folder}/ending",
+    _run_in_turn(
+        spark,
+        _in_turn(_timed_event_lines(spark, sf_dir)),
+        folder,
         lambda lines: top_k_stream(
             lines, "1 day", 3, batch_folders(f"{folder}/out"), f"{folder}/state"
         ),
@@ -528,29 +655,81 @@ def stream_top_k_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ntz(top, "window_start", "window_end")
 
 
-def _last_result(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    results = spark.read.parquet(f"{folder}/out")
-    return results.agg(F.max_by(name, "batch_id").alias(name))
+def _results_in_turn(
+    spark: SparkSession,
+    parts: list[DataFrame],
+    folder: str,
+    results: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """What ``results`` gives after each part, with ``batch_id``."""
+    stream = _feed(spark, parts[0], f"{folder}/in")
+    for part in parts:
+        part.write.mode("append").parquet(f"{folder}/in")
+        writer = running_stream(results(stream), batch_folders(f"{folder}/out"), f"{folder}/state")
+        run_available(spark, writer)
+    return spark.read.parquet(f"{folder}/out")
+
+
+def _longest_so_far(lines: DataFrame) -> DataFrame:
+    found = words(lines.withWatermark("ts", "0 seconds"))
+    return combine_so_far(found, LONGEST_WORD, order=["ts", "event_id", "pos"], repeat_last=True)
+
+
+def _average_so_far(lines: DataFrame) -> DataFrame:
+    return combine_so_far(words(lines, pos=None), AVERAGE_LENGTH)
 
 
 @query(f"with {EVENT_WORDS} select word from words {LONGEST_EVENT_WORD}")
 def stream_longest_word(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = shared_folder(spark, "longest")
-    lines = _event_line_stream(spark, sf_dir).withWatermark("ts", "0 seconds")
-    so_far = combine_so_far(
-        words(lines), LONGEST_WORD, order=["ts", "event_id", "pos"], repeat_last=True
-    )
-    run_available(
-        spark, running_stream(so_far, batch_folders(f"{folder}/out"), f"{folder}/state")
-    )
-    return _last_result(spark, folder, "word")
+    parts = _in_turn(_timed_event_lines(spark, sf_dir))
+    results = _results_in_turn(spark, parts, shared_folder(spark, "longest"), _longest_so_far)
+    return results.agg(F.max_by("word", "batch_id").alias("word"))
 
 
 @query(f"with {EVENT_WORDS} select {AVERAGE} from words")
 def stream_average_word_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = shared_folder(spark, "average")
-    so_far = combine_so_far(words(_event_line_stream(spark, sf_dir), pos=None), AVERAGE_LENGTH)
-    run_available(
-        spark, running_stream(so_far, batch_folders(f"{folder}/out"), f"{folder}/state")
-    )
-    return _rounded(_last_result(spark, folder, "avg_len"))
+    parts = _in_turn(_timed_event_lines(spark, sf_dir))
+    results = _results_in_turn(spark, parts, shared_folder(spark, "average"), _average_so_far)
+    return _rounded(results.agg(F.max_by("avg_len", "batch_id").alias("avg_len")))
+
+
+def _wordless_first(lines: DataFrame) -> list[DataFrame]:
+    """The parts of ``lines``, each behind its own lines without their words."""
+    hidden = F.regexp_replace("line", r"\w+", "?")
+    return [p for part in _in_turn(lines) for p in (part.withColumn("line", hidden), part)]
+
+
+SPANS = f"""{EVENT_WORDS},
+spans as (select *, floor(epoch(ts) / {TEN_DAYS}) as span from words)"""
+
+
+@query(
+    f"""with {SPANS}
+    select row_number() over (order by span) as result, round(avg_len, 6) as avg_len from (
+        select span, sum(sum(length(word))) over (order by span) / sum(count(*)) over (order by span) as avg_len
+        from spans group by span
+    )"""
+)
+def stream_average_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All results, in order. A micro-batch of lines without words gives none."""
+    parts = _wordless_first(_timed_event_lines(spark, sf_dir))
+    results = _results_in_turn(spark, parts, shared_folder(spark, "averages"), _average_so_far)
+    # As many rows as micro-batches.
+    place = F.row_number().over(Window.orderBy("batch_id")).cast("bigint")
+    return _rounded(results.select(place.alias("result"), "avg_len"))
+
+
+@query(
+    f"""with {SPANS},
+    best as (
+        select span, max({{'n': length(word), 'j': -epoch_us(ts), 'e': -event_id, 'p': -pos, 'w': word}}) as b
+        from spans group by span
+    ),
+    so_far as (select span, (max(b) over (order by span)).w as word from best)
+    select distinct word from so_far"""
+)
+def stream_longest_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All different results; none, and no null, while there was no word yet."""
+    parts = _wordless_first(_timed_event_lines(spark, sf_dir))
+    results = _results_in_turn(spark, parts, shared_folder(spark, "longests"), _longest_so_far)
+    return results.select("word").distinct()

@@ -12,6 +12,10 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Top k drops rows before its shuffles for any k that a task can hold.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000000",
+    # A text file is cut into tasks the same way in every scan, whatever cores there are.
+    "spark.sql.files.minPartitionNum": "64",
     # Stream state outside the heap: one row per open window and word.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

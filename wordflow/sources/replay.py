@@ -7,10 +7,6 @@ from pyspark.sql import types as T
 
 from wordflow.sources.text import stream_text_lines, without_skipped
 
-# Fixed value: the default pause of a paced replay.
-PACE = "100 milliseconds"
-
-
 def replay_stream(
     spark: SparkSession,
     path: str,
@@ -31,9 +27,27 @@ def replay_stream(
     return reader.load(path)
 
 
+def replay_table(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None
+) -> DataFrame:
+    """A stored parquet table as a stream, whether it is one file or a folder of files.
+
+    A stream cannot open a single file by its path, so its folder is opened with
+    the file's name as a filter. Files come oldest first: if their times overlap,
+    the lateness must cover it, or rows are dropped.
+    """
+    schema = spark.read.parquet(path).schema
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.getFileStatus(place).isDirectory():
+        return replay_stream(spark, path, schema, files_per_trigger=files_per_trigger)
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return replay_stream(spark, folder, schema, pattern=name, files_per_trigger=files_per_trigger)
+
+
 def paced_lines(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
     """Lines of text files, a few files at a time, without the skipped lines.
 
-    The pace comes from the query's trigger: ``trigger(processingTime=PACE)``.
+    The pace comes from the query's trigger, ``trigger(processingTime=…)``.
     """
     return without_skipped(stream_text_lines(spark, path, files_per_trigger))

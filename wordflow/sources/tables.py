@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+# A session that reads small unsplittable files may ask for so many tasks behind them.
+INPUT_TASKS = "spark.wordflow.inputTasks"
+
 
 def spread(scan: DataFrame) -> DataFrame:
-    """Rows over all cores, if a stored table gives fewer tasks than there are cores.
+    """The rows dealt over as many tasks as the session asks for; as they are if it does not.
 
-    Such a table is small by nature, so the extra shuffle is too. Larger ones
-    come back as they are.
+    This shuffles the rows. It pays only where a table is a file or two and cannot
+    be split, so nothing but the setting turns it on.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores)
+    tasks = scan.sparkSession.conf.get(INPUT_TASKS, None)
+    return scan.repartition(int(tasks)) if tasks else scan

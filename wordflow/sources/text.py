@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+PINNED = "spark.sql.files.minPartitionNum"
+# Bits of monotonically_increasing_id that count within a task.
+SPLIT_BITS = 33
+
 # Lines that a paced replay leaves out.
 SKIPPED_LINES = (" *", "")
 
@@ -19,16 +23,32 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
 def numbered_text_lines(spark: SparkSession, path: str) -> DataFrame:
     """``line`` and ``line_no``, which rises along each file, with gaps.
 
-    Files are cut into tasks by a rule that looks at the number of cores. It is
-    pinned here, since executors may come and go between two scans of one query
-    and the numbers must not change.
+    Files are cut into tasks by a rule that looks at the number of cores, unless
+    the session pins it, as ``build_session`` does. Executors may come and go
+    between two scans of one query and the numbers must not change.
     """
-    pinned = "spark.sql.files.minPartitionNum"
-    if spark.conf.get(pinned, None) is None:
-        spark.conf.set(pinned, str(spark.sparkContext.defaultParallelism))
+    if spark.conf.get(PINNED, None) is None:
+        raise ValueError(f"set {PINNED}, so that two scans give a line the same number")
     return text_lines(spark, path).withColumn("line_no", F.monotonically_increasing_id())
 
 
+def placed_text_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``line`` and ``place``: 0, 1, 2 … through the files, without moving a line.
+
+    A line's number says its split and its place in the split. Lines are counted
+    per split; sums over the splits before, one row per split, are joined back.
+    """
+    lines = numbered_text_lines(spark, path).select(
+        "line",
+        F.shiftright("line_no", SPLIT_BITS).alias("split"),
+        F.col("line_no").bitwiseAND((1 << SPLIT_BITS) - 1).alias("in_split"),
+    )
+    counts = lines.groupBy("split").agg(F.count("*").alias("n"))
+    before = Window.orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("split", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return lines.join(starts, "split").select("line", (F.col("start") + F.col("in_split")).alias("place"))
+
+
 def stream_text_lines(
     spark: SparkSession, path: str, files_per_trigger: int | None = None
 ) -> DataFrame:

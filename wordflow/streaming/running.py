@@ -17,6 +17,10 @@ from wordflow.operators.order import order_numbers
 from wordflow.sinks.batches import Sink
 
 
+# A name that no mergeable part has.
+ELEMENTS = "__elements"
+
+
 def combine_so_far(
     elements: DataFrame,
     mergeable: Mergeable,
@@ -26,6 +30,8 @@ def combine_so_far(
 ) -> DataFrame:
     """One row of state, updated by every micro-batch, for update mode.
 
+    There is no result before the first element, so a stream has no default result:
+    ``Mergeable.empty`` stands for a bounded input that ended without any.
     Without ``repeat_last`` a batch without elements gives no result. With it
     the last result comes once more when a watermark on ``elements`` moves on
     without them, as it does at the end of available input.
@@ -33,7 +39,7 @@ def combine_so_far(
     lifted = mergeable.lifted(F.col(element), order_numbers(elements, order))
     rows = elements.select(*lifted)
     grouped = rows.groupBy() if repeat_last else rows.groupBy(F.lit(0).alias("all"))
-    totals = grouped.agg(*mergeable.totals())
+    totals = grouped.agg(*mergeable.totals(), F.count("*").alias(ELEMENTS)).filter(F.col(ELEMENTS) > 0)
     value = mergeable.finish({name: F.col(name) for name in mergeable.parts})
     return totals.select(value.alias(mergeable.result))
 

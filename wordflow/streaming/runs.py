@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,9 +64,14 @@ def run_to_end(
     folder: str,
     writer: Callable[[DataFrame], DataStreamWriter],
     ts: str = "ts",
+    parts: Iterable[DataFrame] = (),
+    feed: str | None = None,
 ) -> None:
     """Run over all available ``lines``, then let every open window close.
 
+    ``parts``, if given, are put under ``feed``, where ``lines`` reads, one after
+    the other, with a run for each: every part is a micro-batch of its own.
+
     Spark leaves the last windows open when a source ends. So the query reads a
     second source under ``folder`` too, empty at first; once the input is done a
     row without words and with a time after all others is put there, and the
@@ -80,6 +85,9 @@ def run_to_end(
         ending = spark.readStream.schema(lines.schema).parquet(folder)
         run_available(spark, writer(lines.unionByName(ending)))
 
+    for part in parts:
+        part.write.mode("append").parquet(feed)
+        once()
     once()
     _closing_row(spark, lines.schema, ts).write.mode("append").parquet(folder)
     once()
