@@ -1,0 +1,73 @@
+import random
+
+import pytest
+
+from tests.llm.conftest import prose
+from wordflow.llm.decontamination import WINDOW, contaminated, decontaminate, normal_words
+
+ITEMS = [(i, prose(100 + i, 14 + 2 * i).replace("\n", " ")) for i in range(12)] + [
+    (50, prose(100, 14).replace("\n", " ")), (60, "too short"), (61, None), (62, ""), (None, prose(300, 20)),
+]
+
+
+def planted():
+    rng = random.Random(9)
+    rows = []
+    for i in range(60):
+        words = prose(i, 60).split()
+        leak = list(rng.choice(ITEMS[:12])[1].split())
+        for _ in range(rng.choice([0, 0, 1, 2, 3, 6])):
+            leak[rng.randrange(len(leak))] = "other"
+        if i % 3:
+            words[20:20] = leak
+        rows.append((i, " ".join(words).title().replace(" ", ", ") if i % 2 else " ".join(words)))
+    return [*rows, (7, rows[7][1]), (None, ITEMS[0][1]), (200, None), (201, ""), (202, ITEMS[5][1] + " " + ITEMS[5][1])]
+
+
+def brute(docs, items, most):
+    """Per pair the best overlap over alignments, from all pairs of windows."""
+    found = {}
+    for doc, text in docs:
+        words = normal_words(text)
+        for item, passage in items:
+            other = normal_words(passage)
+            for i in range(len(words) - WINDOW + 1):
+                for j in range(len(other) - WINDOW + 1):
+                    wrong = sum(a != b for a, b in zip(words[i : i + WINDOW], other[j : j + WINDOW], strict=True))
+                    if wrong <= most:
+                        key = found.setdefault((doc, item), {}).setdefault(i - j, set())
+                        key.update(range(j, j + WINDOW))
+    return {pair: max(map(len, shifts.values())) for pair, shifts in found.items()}
+
+
+@pytest.mark.parametrize("most", [0, 1, 2])
+def test_same_as_brute_force(spark, most):
+    docs, items = planted(), [x for x in ITEMS if x[0] != 50]
+    frame = spark.createDataFrame([(*d, "own") for d in docs], "doc_id bigint, text string, item_id string")
+    bench = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    got = contaminated(frame, bench, max_substitutions=most).collect()
+    assert {(r.doc_id, r.item_id): r.overlap for r in got} == brute(docs, items, most)
+    assert len(got) == len({(r.doc_id, r.item_id) for r in got})
+    assert all(r.coverage == 100 * r.overlap // len(normal_words(dict(ITEMS)[r.item_id])) for r in got)
+
+
+def test_documents_that_leak_go(spark):
+    docs = planted()
+    frame = spark.createDataFrame([(*d, "own") for d in docs], "doc_id bigint, text string, leak string")
+    bench = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    bad = {doc for doc, _ in brute(docs, ITEMS, 2)}
+    kept = decontaminate(frame, bench).collect()
+    assert sorted(str(r.doc_id) for r in kept) == sorted(str(d) for d, _ in docs if d is None or d not in bad)
+
+
+def test_given_documents_and_empty_tables(spark, docs, no_docs, texts):
+    bench = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    assert contaminated(docs, bench).count() == 0
+    assert decontaminate(docs, bench).count() == len(texts)
+    assert contaminated(no_docs, bench).count() == 0
+    assert contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_three_substitutions_are_not_promised(docs):
+    with pytest.raises(ValueError, match="two substitutions"):
+        contaminated(docs, docs, max_substitutions=3)

@@ -1,0 +1,65 @@
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from wordflow.llm.quality import counts_of, limits, quality_rules, repeated_words, sketches
+
+
+def brute_repeats(words):
+    windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+    covered = {j for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1 for j in range(i, i + 8)}
+    return len(covered)
+
+
+def test_repeated_words():
+    assert repeated_words([]) == 0
+    for text in ("a b c d e f g h " * 3, "a " * 30, "a b c d e f g h i j k a b c d e f g h", "q w e r t y u i o p"):
+        words = text.encode().split()
+        assert repeated_words(words) == brute_repeats(words)
+
+
+def test_counts():
+    assert counts_of("#a b\n\n#a b\n$é") == (5, 8, 3, 1, 0, 3)
+    assert counts_of(None) == counts_of("") == counts_of(" \n\t") == (0, 0, 0, 0, 0, 0)
+
+
+def test_every_row_is_judged(docs, texts):
+    rows = quality_rules(docs).collect()
+    assert len(rows) == len(texts)
+    short = {r.doc_id for r in rows if r.base_failed}
+    assert {4, 5, 6, 9, -5, 11, 14} <= short
+    assert not any(r.kept and r.base_failed for r in rows)
+    # The frame has a column of that name, too.
+    assert {r.kept for r in rows} == {True, False}
+    assert {r.made for r in rows} == {"own made"}
+
+
+def test_limits_follow_the_group(spark):
+    words = " ".join(f"word{i}" for i in range(40))
+    marked = " ".join(f"w###{i}" for i in range(40))
+    rows = [(i, words, "en", "clean") for i in range(120)] + [(500 + i, marked, "en", "code") for i in range(120)]
+    rows += [(1000, marked, "en", "clean"), (1001, "abc " * 25, "en", "code"), (1002, words, "xx", None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality_rules(frame).collect()}
+    assert kept[0] and kept[500] and kept[1002]
+    assert not kept[1000] and not kept[1001]
+
+
+def test_sketches_merge(spark):
+    """Sketches of two halves add up to the sketch of the whole."""
+    cols = "lang string, source string, word_length bigint, symbol_rate bigint, dup_line_rate bigint"
+    rows = [("a", f"s{i % 3}", 400 + 7 * i, i * i, i) for i in range(200)]
+    frame = spark.createDataFrame(rows, cols)
+    keys = ["level", "lang", "source", "measure", "bucket"]
+    whole = sketches(frame)
+    halves = sketches(frame.filter("dup_line_rate < 90")).union(sketches(frame.filter("dup_line_rate >= 90")))
+    merged = halves.groupBy(*keys).agg(F.sum("n").alias("n"))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, merged.select(whole.columns).collect()))
+    top = limits(whole).filter("level = 2").first()
+    values = sorted(r[3] for r in rows)
+    spread = values[149] - values[49]
+    assert abs(top.symbol_rate_high - (values[149] + 3 * spread)) <= 0.2 * top.symbol_rate_high
+
+
+def test_empty_table(no_docs):
+    assert quality_rules(no_docs).count() == 0

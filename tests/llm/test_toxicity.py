@@ -1,0 +1,116 @@
+import random
+
+import pytest
+
+from tests.llm.conftest import prose
+from wordflow.llm.grammar import ALPHABET, Transducer, clause_table, findings
+from wordflow.llm.toxicity import Toxicity, fit_toxicity, held_out, labelled_sample, toxicity_scores
+
+SCHEMA = "doc_id bigint, text string"
+INSULTS = ["blockhead", "dunce", "nitwit"]
+
+
+def labelled(n=1500):
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(n):
+        words = prose(i, rng.randint(20, 80)).split()
+        toxic = i % 5 == 0
+        for _ in range(rng.randint(2, 4) if toxic else 0):
+            ends = ["", "ly", "ness", "ish"]
+            words.insert(rng.randrange(len(words)), rng.choice(INSULTS) + rng.choice(ends))
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic)))
+    return rows, labels
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    rows, labels = labelled()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    from pyspark.sql import functions as F
+
+    model = fit_toxicity(labelled_sample(docs, known.filter(~held_out(F.col("doc_id")))))
+    return docs, dict(labels), model
+
+
+def test_held_out_rows_are_told_apart(learned):
+    from pyspark.sql import functions as F
+
+    docs, labels, model = learned
+    scored = toxicity_scores(docs, model).withColumn("out", held_out(F.col("doc_id"))).collect()
+    out = [r for r in scored if r.out]
+    assert 200 < len(out) < 550
+    right = [r.predicted == labels[r.doc_id] for r in out]
+    assert sum(right) / len(right) > 0.97
+    assert all(0 <= r.score <= 1 for r in scored)
+
+
+def test_stems_catch_forms_never_seen(learned):
+    _, _, model = learned
+    own = model.prepare()
+    assert own.score("you are a blockheadedly made thing and a nitwitful one")[0] > 0.3
+    assert own.score("a quiet sentence about nothing")[0] < 0.3
+    del own.table, own.places, own.closed, own.seen, own.lengths
+
+
+def own_model(**insults):
+    return Toxicity(insults).prepare()
+
+
+def test_clauses_and_not_words():
+    model = own_model(**{"dunce$": 3.0})
+    plain = model.score("such a dunce")[0]
+    assert model.score("you dunce")[0] > plain
+    assert model.score("such a dunce you are")[0] > plain
+    assert model.score("not a dunce")[0] < plain
+    assert model.score("they never saw the old long road. such a dunce")[0] == plain
+    assert model.score("it said: dunce")[0] == plain
+    assert model.score("it said dunce")[0] < plain
+    assert model.score('such a "dunce"')[0] < plain
+    assert model.score("not there. a dunce")[0] == plain
+    assert model.score("a dunce. a dunce")[1] == 2
+
+
+def test_threats_need_no_insult():
+    model = own_model()
+    assert model.score("I will kill you")[0] > model.score("I will kill time")[0] > model.score("I have time")[0]
+
+
+def test_composition_agrees_with_one_after_the_other():
+    flip = Transducer(0, lambda s, x: (1 - s, (x, s), 0.5))
+    add = Transducer(0, lambda s, x: (s + x[0] & 3, s, 0.25))
+    table = flip.then(add).table([0, 1])
+    rng = random.Random(1)
+    state, a, b = 0, 0, 0
+    for _ in range(200):
+        x = rng.randrange(2)
+        a, middle, w1 = flip.step(a, x)
+        b, out, w2 = add.step(b, middle)
+        state, got, weight = table[x][state]
+        assert (got, weight) == (out, w1 + w2)
+
+
+def test_the_table_is_small_and_closed():
+    table = clause_table()
+    sizes = {len(rows) for rows in table.values()}
+    assert set(table) == set(ALPHABET) and len(sizes) == 1 and sizes.pop() <= 48
+    assert len(findings(table)) == 17
+
+
+def test_given_documents(docs, no_docs, texts, learned):
+    _, _, model = learned
+    rows = toxicity_scores(docs, model).collect()
+    assert len(rows) == len(texts) and {r.row for r in rows} == {"own row"}
+    lowest = min(r.score for r in rows)
+    assert all(r.score == lowest and r.predicted == 0 for r in rows if r.text in (None, ""))
+    assert toxicity_scores(no_docs, model).count() == 0
+
+
+def test_nothing_to_learn_from(spark, docs, no_docs):
+    none = spark.createDataFrame([], "doc_id bigint, toxic int")
+    clean = spark.createDataFrame([(1, 0), (3, 0), (None, 1), (4, None)], "doc_id bigint, toxic int")
+    for labels in (none, clean):
+        assert fit_toxicity(labelled_sample(docs, labels)).insults == {}
+    assert fit_toxicity(labelled_sample(no_docs, clean)).insults == {}
