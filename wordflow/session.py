@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+# Applications whose workers were sent the package.
+_shipped: set[str] = set()
+
 SETTINGS = {
     # One time zone on both sides of every timestamp cast.
     "spark.sql.session.timeZone": "UTC",
@@ -32,6 +38,22 @@ def build_session(name: str = "wordflow", settings: dict[str, str] | None = None
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the workers of Python functions, if they would not find it.
+
+    They do where it is installed, on ``PYTHONPATH``, or in the folder the session
+    was started in.
+    """
+    root = Path(__file__).resolve().parent.parent
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    installed = root.name in ("site-packages", "dist-packages")
+    if installed or str(root) in known or spark.sparkContext.applicationId in _shipped:
+        return
+    target = f"{tempfile.mkdtemp(prefix='wordflow-')}/wordflow"
+    spark.sparkContext.addPyFile(shutil.make_archive(target, "zip", root, "wordflow"))
+    _shipped.add(spark.sparkContext.applicationId)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which all executors see.
 
