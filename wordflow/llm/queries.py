@@ -25,7 +25,8 @@ from wordflow.llm.token_counts import (
 )
 from wordflow.llm.toxicity import fit_toxicity, held_out, labelled_sample, toxicity_scores
 from wordflow.llm.warc import warc_round_trip
-from wordflow.session import shared_folder
+from wordflow.session import shared_folder, ship_package
+from wordflow.sources.tables import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,7 +36,11 @@ ORACLES: dict[str, str] = {}
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(run: Query) -> Query:
-        QUERIES[run.__name__] = run
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return run(spark, sf_dir)
+
+        QUERIES[run.__name__] = shipped
         if sql is not None:
             ORACLES[run.__name__] = sql
         return run
@@ -44,7 +49,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
