@@ -68,8 +68,10 @@ def trained(spark):
 def test_training_helps_on_held_out_texts(trained):
     network, classes = trained
     held = [buckets_of(t) for _, t in pairs(2, 200)]
-    before = score_texts(held, Network.start(), classes).sum()
-    assert score_texts(held, network, classes).sum() > 0.9 * before
+    words = sum(map(len, held))
+    # What the words' frequencies alone say, which is near the network's start.
+    start = score_texts(held, Network.start(), classes).sum() / words
+    assert score_texts(held, network, classes).sum() / words > start + 0.25
 
 
 def test_shuffled_words_are_less_likely(trained):

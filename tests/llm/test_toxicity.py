@@ -60,7 +60,7 @@ def own_model(**insults):
 
 
 def test_clauses_and_not_words():
-    model = own_model(**{"dunce$": 3.0})
+    model = own_model(**{"dunce$": 5.0})
     plain = model.score("such a dunce")[0]
     assert model.score("you dunce")[0] > plain
     assert model.score("such a dunce you are")[0] > plain

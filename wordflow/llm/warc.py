@@ -303,8 +303,11 @@ def _lines(file) -> Iterator[bytes]:
 
 
 def _records(rows: list[tuple], columns: list[str]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=columns)
-    return frame.astype({"page_id": "Int64", "refers_to": "Int64"})
+    # Whole numbers with nulls must not pass through floats.
+    found = dict(zip(columns, zip(*rows, strict=True), strict=True))
+    return pd.DataFrame(
+        {c: pd.array(v, dtype="Int64") if c in ("page_id", "refers_to") else v for c, v in found.items()}
+    )
 
 
 def warc_round_trip(
