@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 
 from wordflow.operators.tokens import words
 from wordflow.plans.words import word_count
-from wordflow.session import shared_folder
+from wordflow.session import shared_base, shared_folder
 from wordflow.sinks.prints import print_stream
 from wordflow.sources.kafka import kafka_records
 from wordflow.sources.replay import paced_lines, replay_table
@@ -133,9 +133,30 @@ def test_numbers_need_pinned_splits(spark, tmp_path):
 
 
 def test_shared_folder_is_new_each_time(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
     one, two = shared_folder(spark, "x"), shared_folder(spark, "x")
-    assert one != two and one.startswith(f"{base.rstrip('/')}/x-")
+    assert one != two and one.rpartition("/x-")[0] == two.rpartition("/x-")[0]
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    assert not base or one.startswith(f"{base.rstrip('/')}/wordflow-")
+
+
+def test_shared_folders_go_with_the_application(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    settings = {"spark.master": "local[1]", "spark.ui.enabled": "false", "spark.checkpoint.dir": f"file://{tmp_path}"}
+    code = SCRATCH.format(root=root, settings=settings)
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120)
+    assert done.stdout.split() == ["wordflow", "3"]
+    assert list(tmp_path.glob("wordflow-*")) == []
+
+
+SCRATCH = """
+import os, sys
+sys.path.insert(0, {root!r})
+from wordflow.session import build_session, shared_folder
+spark = build_session("scratch", {settings!r})
+spark.range(3).write.parquet(folder := shared_folder(spark, "x"))
+print(folder.split("/")[-2].split("-")[0], spark.read.parquet(folder).count())
+spark.stop()
+"""
 
 
 class WithoutFolder:
@@ -147,9 +168,9 @@ class WithoutFolder:
 
 
 def test_only_local_sessions_do_without_a_shared_folder():
-    assert os.path.isdir(os.path.dirname(shared_folder(WithoutFolder("local[2]"), "x")))
+    assert os.path.isdir(shared_base(WithoutFolder("local[2]")))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(WithoutFolder("spark://host:7077"), "x")
+        shared_base(WithoutFolder("spark://host:7077"))
 
 
 def test_kafka_needs_its_package(spark):

@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 
 # Applications whose workers were sent the package.
 _shipped: set[str] = set()
+# The folder of each application.
+_scratch: dict[str, str] = {}
 
 SETTINGS = {
     # One time zone on both sides of every timestamp cast.
@@ -54,15 +56,26 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(spark.sparkContext.applicationId)
 
 
+def shared_base(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``. Only a local session may do without; it gets a new temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="wordflow-")
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name under ``spark.checkpoint.dir``, which all executors see.
 
-    Only a local session may go without that setting; it then gets a temporary
-    folder of this machine.
+    It lies in a folder of the application, which goes when the driver ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="wordflow-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    if application not in _scratch:
+        _scratch[application] = f"{shared_base(spark)}/wordflow-{application}"
+        place = spark._jvm.org.apache.hadoop.fs.Path(_scratch[application])
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(place)
+        files.deleteOnExit(place)
+    return f"{_scratch[application]}/{purpose}-{uuid.uuid4().hex}"
