@@ -157,5 +157,6 @@ def count_documents(
 def later_copies(counted: DataFrame) -> DataFrame:
     """Rows whose text a smaller id has too; rows without an id are no one's copies."""
     first = counted.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    held = first.filter("first < last").select("digest", "first")
+    # Stored, so that the join is of two plain shuffles and a frequent text can be split.
+    held = written(first.filter("first < last").select("digest", "first"), "copies")
     return counted.join(held, "digest").filter("doc_id > first")
