@@ -88,3 +88,8 @@ def test_given_documents(docs, texts):
 
 def test_empty_table(no_docs):
     assert remove_repeats(no_docs).count() == 0
+
+
+def test_rows_that_repeat_often(spark):
+    rows = pieces(6, docs=12)
+    check(spark.createDataFrame(rows + rows[:5] * 40, "doc_id bigint, text string").repartition(5), 30, 8)

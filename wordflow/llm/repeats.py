@@ -155,24 +155,24 @@ def _judged(docs: DataFrame, length: int, gram: int) -> DataFrame:
     rows = docs.filter(F.octet_length("text") >= length).select("doc", "text").mapInPandas(
         _anchor_rows(length, gram), ANCHORS
     )
-    again = rows.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
+    # Stored tables on one side make each join one of two plain shuffles: Spark can then
+    # split a frequent gram over tasks.
+    counted = rows.groupBy("gram").agg(F.count("*").alias("n"))
+    again = written(counted.filter("n > 1").select("gram"), "grams")
     rest = written(rows.join(again, "gram"), "anchors")
-    texts = rest.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min("doc").alias("first"))
-    per_gram = texts.groupBy("gram").agg(F.count("*").alias("texts"))
+    texts = written(
+        rest.groupBy("gram", "around").agg(F.count("*").alias("n"), F.min("doc").alias("first")), "texts"
+    )
+    per_gram = written(texts.groupBy("gram").agg(F.count("*").alias("texts")), "grams")
     known = texts.join(per_gram, "gram").filter("n > 1 or texts > 1")
     return written(rest.join(known, ["gram", "around"]), "anchors")
 
 
-class Asks:
-    """What one document is asked for: its anchors that stand for a text around a gram."""
-
-    FIELDS = "struct<at:bigint,lo:bigint,hi:bigint,gram:bigint,n:bigint>"
-
-    @staticmethod
-    def of(judged: DataFrame, condition: str) -> DataFrame:
-        asked = judged.filter(f"texts > 1 and (n = 1 or doc = first) and {condition}")
-        fields = F.struct("at", "lo", "hi", "gram", "n")
-        return asked.groupBy("doc").agg(F.collect_list(fields).alias("asks"))
+def _asks(judged: DataFrame, condition: str) -> DataFrame:
+    """Per document its anchors that stand for a text around a gram."""
+    asked = judged.filter(f"texts > 1 and (n = 1 or doc = first) and {condition}")
+    fields = F.struct("at", "lo", "hi", "gram", "n")
+    return asked.groupBy("doc").agg(F.collect_set(fields).alias("asks"))
 
 
 def _texts_around(length: int):
@@ -180,9 +180,14 @@ def _texts_around(length: int):
 
     def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["gram", "doc", "at", "lo", "hi", "n", "around"]
+        before = None
         for frame in frames:
             found = []
             for doc, text, asks in zip(frame["doc"], frame["text"], frame["asks"], strict=True):
+                # Repeated rows are the same text and stand next to each other: one answers.
+                if doc == before:
+                    continue
+                before = doc
                 raw = text.encode()
                 for a in asks:
                     cut = raw[a["lo"] : a["hi"] + length]
@@ -334,8 +339,8 @@ def remove_repeats(
     judged = _judged(named, length, gram)
     whole = judged.filter("n > 1").select("doc", "lo", "hi")
     # All columns go through both joins, so that the texts are shuffled once for both.
-    few = named.join(Asks.of(judged, f"texts <= {GROUP}"), "doc")
-    many = named.join(Asks.of(judged, f"texts > {GROUP}"), "doc")
+    few = named.join(_asks(judged, f"texts <= {GROUP}"), "doc")
+    many = named.join(_asks(judged, f"texts > {GROUP}"), "doc")
     rims = (
         few.mapInPandas(_texts_around(length), "gram bigint, doc bigint, at bigint, lo bigint, hi bigint, n bigint, around binary")
         .repartition("gram")
@@ -345,7 +350,7 @@ def remove_repeats(
     windows = many.mapInPandas(_each_window(length), WINDOWS)
     twice = windows.groupBy("gram", "window").agg(F.sum("weight").alias("n")).filter("n > 1")
     dealt = windows.join(twice, ["gram", "window"]).select("doc", "lo", F.col("lo").alias("hi"))
-    starts = whole.union(rims).union(dealt).groupBy("doc").agg(F.collect_list(F.shiftleft("lo", 32).bitwiseOR(F.col("hi"))).alias("starts"))
+    starts = whole.union(rims).union(dealt).groupBy("doc").agg(F.collect_set(F.shiftleft("lo", 32).bitwiseOR(F.col("hi"))).alias("starts"))
     made = named.join(starts, "doc", "left").select(
         "row", _removed(length)(F.col("text"), F.col("starts")).alias("made")
     )
