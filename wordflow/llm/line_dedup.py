@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordflow.llm.common import BLANKS, UPPER, packed, unpacked
+from wordflow.llm.common import BLANKS, UPPER, packed, unpacked, written
 
 MIN_CHARS = 10
 MIN_DOCUMENTS = 2
@@ -40,8 +40,12 @@ def _shared_lines(docs: DataFrame, id_column: str, text_column: str, min_chars:
         .select("id", F.xxhash64(key).alias("h1"), F.xxhash64(F.lit("second"), key).alias("h2"))
         .distinct()
     )
+    # Both sides of the join are stored, so that it is one of two plain shuffles and Spark
+    # can split a line that very many documents hold.
+    held = written(held, "lines")
     counted = held.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count("*").alias("n"))
-    repeated = counted.filter(F.col("n") >= min_docs).select("h1", "h2", "first")
+    shared = counted.filter(F.col("n") >= min_docs).select("h1", "h2", "first")
+    repeated = written(shared, "shared-lines")
     lost = held.join(repeated, ["h1", "h2"]).filter(F.col("id") != F.col("first"))
     return lost.groupBy("id").agg(F.collect_list("h1").alias("gone"))
 
