@@ -106,12 +106,14 @@ def write_archives(
         F.col(f"`{url_column}`").alias("url"),
         payload.alias("payload"),
     ).select("*", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("size"))
-    first = (
+    # Stored, so that Spark can split a payload that very many pages share.
+    first = written(
         rows.filter(F.col("size") >= min_revisit_bytes)
         .groupBy("digest", "size")
         .agg(F.max("page_id").alias("largest"), F.count("*").alias("n"))
         .filter("n > 1")
-        .select("digest", "size", "largest")
+        .select("digest", "size", "largest"),
+        "payloads",
     )
     own = F.col("page_id").isNotNull() & (F.col("page_id") == F.col("largest"))
     refers = F.when(~own, F.col("largest"))
