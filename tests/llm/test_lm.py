@@ -5,19 +5,24 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from wordflow.llm.common import written
 from wordflow.llm.lm import (
     BUCKETS,
+    CHUNKS,
     CLASSES,
     CONTEXT,
     SIDES,
     Classes,
     Network,
+    _chunks,
     bucket_counts,
     buckets_of,
+    class_bounds,
     lm_scores,
     neighbours,
     score_texts,
     train,
+    vocabulary_of,
 )
 
 
@@ -111,5 +116,38 @@ def test_many_tasks_are_added_in_a_tree(spark):
     assert np.allclose(train(frame, classes).pack(), total / n, atol=1e-4)
 
 
+def test_every_word_has_its_own_probability(spark):
+    """Two words of one bucket, a frequent and a rare one."""
+    seen = {}
+    for i in range(2000):
+        first, second = seen.setdefault(int(buckets_of(f"w{i}")[0]), f"w{i}"), f"w{i}"
+        if first != second:
+            break
+    rows = [(i, f"x y {first} y x") for i in range(200)] + [(1000, f"x y {second} y x")]
+    got = {r.doc_id: r.log_likelihood for r in lm_scores(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[1000] < got[0] - 2
+
+
+def test_vocabulary_and_pairs_grow_with_the_corpus(spark):
+    for n in (100, 70_000):
+        frame = spark.createDataFrame([(str(i), f"A{i} a") for i in range(n)], "key string, text string").repartition(3)
+        vocabulary = vocabulary_of(written(frame.mapInPandas(_chunks, CHUNKS), "chunks"))
+        assert vocabulary.count() == n + 1 == vocabulary.select("word").distinct().count()
+        bounds, sizes = class_bounds(vocabulary)
+        assert vocabulary.agg(F.max("n")).first()[0] == n and sizes.sum() == 2 * n and len(bounds) == 1
+
+
+def test_context_tells_words_of_a_class(spark):
+    """All words have one frequency, so only the in-class step can tell them."""
+    names = [f"w{i}" for i in range(40)]
+    rng = random.Random(6)
+    pick = lambda half: " ".join(rng.choices(names[20 * half : 20 * half + 20], k=30))
+    rows = [(i, pick(i % 2)) for i in range(3000)]
+    mixed = [(10_000 + i, " ".join(rng.choices(names, k=30))) for i in range(100)]
+    got = lm_scores(spark.createDataFrame(rows + mixed, "doc_id bigint, text string").repartition(2)).collect()
+    mean = lambda keep: np.mean([r.per_token for r in got if keep(r.doc_id)])
+    assert mean(lambda i: i < 10_000) > mean(lambda i: i >= 10_000) + 0.01
+
+
 def test_empty_table(no_docs):
     assert lm_scores(no_docs).count() == 0

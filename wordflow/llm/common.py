@@ -31,6 +31,14 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Removes a ``written`` table that nothing will read again."""
+    spark = table.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def packed(frame: DataFrame, name: str = "row") -> Column:
     """All columns as one struct, so that no name in the frame can clash with an own one."""
     return F.struct(*[F.col(f"`{c}`") for c in frame.columns]).alias(name)

@@ -1,25 +1,37 @@
-"""Masked pseudo-likelihood of documents under a small two-sided window network.
-
-Every word of a text is hidden in turn and predicted from the words around it.
-The network knows words by bucket: it predicts the frequency class of the hidden
-bucket, and the bucket within its class goes by its share of the corpus. Counts
-come from all documents. So does the training: each task runs through its own
-documents once, from the same start, and the networks are averaged by their
-numbers of words, in a tree, so that no task or driver holds more than a few.
+"""Masked pseudo-likelihood of documents under a two-level softmax over real words.
+
+Every word of a text is hidden in turn and predicted from the words around it:
+first its frequency class by a small two-sided window network, then the word
+within its class by how often it stands in contexts of the same code, which is
+the strongest unit of the network's hidden layer. Both the words' counts and the
+counts per word and code are tables that grow with the corpus; texts are joined
+with them by shuffle. Texts are put into chunks, and a chunk asks for each of its
+words once, so what is shuffled are distinct words, not places.
+
+Training runs through all documents once, in rounds that double: each task starts
+at the mean network of the round before and goes through its own chunks, and the
+networks are averaged by their numbers of words, in a tree, so that no task or
+driver holds more than a few.
+
+A word is known by 64 bits of its hash: of a billion different words, 0.03 pairs
+are expected to meet.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import count
 
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wordflow.llm.common import packed, unpacked, written
+from wordflow.llm.common import discard, packed, unpacked, written
 
 BUCKETS = 1 << 16
 # Words around the hidden one are known by fewer buckets; the last one is the edge of the text.
@@ -32,6 +44,14 @@ BATCH = 8192
 # Networks that are added up together.
 FAN_IN = 16
 WORDS = 1 << 16
+# Words of a chunk, which asks the tables for each distinct word once.
+CHUNK = 1 << 18
+# Contexts of the in-class step: the hidden unit of the greatest size, and its sign.
+CODES = 2 * WIDTH
+# The class's unigram shares weigh as much as so many words in each context.
+SMOOTH = 100.0
+# Chunks of the first round of training; rounds double from there.
+FIRST_ROUND = 16
 RESULTS = ["n_tokens", "log_likelihood", "per_token"]
 
 
@@ -90,10 +110,17 @@ class Network:
         near = self.words[around]
         return near, np.tanh(np.einsum("nsw,sw->nw", near, self.sides))
 
-    def log_classes(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Log-probabilities of all classes, and what led to them."""
+    def log_classes(self, around: np.ndarray, steady: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Log-probabilities of all classes, and what led to them.
+
+        ``steady`` multiplies in double precision, so that a row's scores do not
+        depend on the rows beside it.
+        """
         near, hidden = self._hidden(around)
-        scores = hidden @ self.classes.T + self.offsets
+        if steady:
+            scores = (hidden.astype(np.float64) @ self.classes.T.astype(np.float64)).astype(np.float32) + self.offsets
+        else:
+            scores = hidden @ self.classes.T + self.offsets
         scores -= scores.max(axis=1, keepdims=True)
         scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
         return scores, hidden, near
@@ -167,6 +194,17 @@ def bucket_counts(texts: DataFrame) -> np.ndarray:
     return counts
 
 
+def _task_network(task: int, n: int, network: Network) -> pd.DataFrame:
+    whole = network.pack().astype(np.float64) * n
+    return pd.DataFrame({"task": [task], "n": [float(n)], "weights": [whole.astype(np.float32).tobytes()]})
+
+
+def _learn_all(network: Network, wanted: np.ndarray, around: np.ndarray) -> int:
+    for begin in range(0, len(wanted), BATCH):
+        network.learn(wanted[begin : begin + BATCH], around[begin : begin + BATCH])
+    return len(wanted)
+
+
 def _train(shared):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         classes, network, n, task = shared.value, Network.start(), 0, 0
@@ -174,13 +212,9 @@ def _train(shared):
             task = int(frame["task"].iloc[0]) if len(frame) else task
             for texts in _slices(frame["text"]):
                 hidden, around = neighbours(texts)
-                wanted = classes.of[hidden]
-                for begin in range(0, len(wanted), BATCH):
-                    network.learn(wanted[begin : begin + BATCH], around[begin : begin + BATCH])
-                n += len(wanted)
+                n += _learn_all(network, classes.of[hidden], around)
         if n:
-            whole = network.pack().astype(np.float64) * n
-            yield pd.DataFrame({"task": [task], "n": [float(n)], "weights": [whole.astype(np.float32).tobytes()]})
+            yield _task_network(task, n, network)
 
     return run
 
@@ -197,11 +231,9 @@ def _add(frame: pd.DataFrame) -> pd.DataFrame:
 PARTS = "task bigint, n double, weights binary"
 
 
-def train(texts: DataFrame, classes: Classes) -> Network:
-    """The mean network over all tasks, weighted by their words."""
-    shared = texts.sparkSession.sparkContext.broadcast(classes)
-    tasks = texts.select("text", F.spark_partition_id().cast("bigint").alias("task"))
-    parts = written(tasks.mapInPandas(_train(shared), PARTS), "networks")
+def _mean(parts: DataFrame, otherwise: Network) -> Network:
+    """The mean of the tasks' networks, weighted by their words."""
+    parts = written(parts, "networks")
     n = parts.count()
     while n > 1:
         grouped = parts.groupBy((F.col("task") / FAN_IN).cast("bigint").alias("group"))
@@ -209,10 +241,17 @@ def train(texts: DataFrame, classes: Classes) -> Network:
         n = parts.count()
     row = parts.first()
     if row is None:
-        return Network.start()
+        return otherwise
     return Network.unpack(np.frombuffer(bytes(row["weights"]), np.float32) / row["n"])
 
 
+def train(texts: DataFrame, classes: Classes) -> Network:
+    """One round over words known by bucket: the mean network over all tasks."""
+    shared = texts.sparkSession.sparkContext.broadcast(classes)
+    tasks = texts.select("text", F.spark_partition_id().cast("bigint").alias("task"))
+    return _mean(tasks.mapInPandas(_train(shared), PARTS), Network.start())
+
+
 def score_texts(texts: list[np.ndarray], network: Network, classes: Classes) -> np.ndarray:
     """The summed log-probability of each text's words, each given those around it."""
     hidden, around = neighbours(texts)
@@ -226,6 +265,196 @@ def score_texts(texts: list[np.ndarray], network: Network, classes: Classes) ->
     return np.bincount(owner, found, len(texts))
 
 
+CHUNKS = "chunk bigint, keys array<string>, sizes array<int>, words array<bigint>, n array<int>, places binary"
+
+
+def _chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Texts of about ``CHUNK`` words as places in the list of their distinct words."""
+    keys: list[str] = []
+    sizes: list[int] = []
+    places: list[int] = []
+    known: dict[bytes, int] = {}
+    # Numbered by task and turn, the same whenever the task runs.
+    numbers = count(TaskContext.get().partitionId() << 32)
+
+    def made() -> pd.DataFrame:
+        at = np.array(places, np.int32)
+        words = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known)).view(np.int64)
+        row = next(numbers), keys, sizes, words, np.bincount(at, minlength=len(known)), _zipped(at)
+        return pd.DataFrame([row], columns=["chunk", "keys", "sizes", "words", "n", "places"])
+
+    for frame in frames:
+        for key, text in zip(frame["key"], frame["text"], strict=True):
+            words = text.encode().lower().split() if text else []
+            keys.append(key)
+            sizes.append(len(words))
+            places += [known.setdefault(w, len(known)) for w in words]
+            if len(places) >= CHUNK:
+                yield made()
+                keys, sizes, places, known = [], [], [], {}
+    if keys:
+        yield made()
+
+
+def _zipped(numbers: np.ndarray) -> bytes:
+    """Numbers under 2 ** 32, byte by byte: the upper ones are mostly alike."""
+    return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def _unzipped(data: bytes) -> np.ndarray:
+    parts = np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(parts.T).view("<u4").ravel().astype(np.int64)
+
+
+def vocabulary_of(chunks: DataFrame) -> DataFrame:
+    """``word, n, places`` for every word of the corpus, places in the chunks' lists; stored."""
+    listed = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "n")).alias("at", "w"))
+    counted = listed.groupBy(F.col("w.words").alias("word")).agg(
+        F.sum("w.n").alias("n"), F.collect_list(F.struct("chunk", "at")).alias("places")
+    )
+    return written(counted, "vocabulary")
+
+
+def class_bounds(vocabulary: DataFrame) -> tuple[list[int], np.ndarray]:
+    """The least count of each class but the last, and the words in the corpus per class.
+
+    Classes hold about equal shares of the corpus, from frequent to rare; words
+    of one count share a class. The driver gets a row per distinct count.
+    """
+    rows = sorted(vocabulary.groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True)
+    counts = np.array([r["n"] for r in rows], np.float64)
+    weight = counts * np.array([r["words"] for r in rows], np.float64)
+    before = np.cumsum(weight) - weight
+    slots = np.minimum(CLASSES - 1, before * CLASSES / max(1.0, weight.sum())).astype(np.int64)
+    _, numbers = np.unique(slots, return_inverse=True)
+    last = np.flatnonzero(np.diff(numbers))
+    return [int(n) for n in counts[last]], np.bincount(numbers, weight, CLASSES)
+
+
+def _of_chunks(values: DataFrame, chunks: DataFrame, types: dict[str, str]) -> DataFrame:
+    """The chunks with arrays of the ``values`` (``chunk`` and others), sorted."""
+    sorted_ = F.sort_array(F.collect_list(F.struct(*types)))
+    found = values.groupBy("chunk").agg(sorted_.alias("found"))
+    none = {c: F.expr(f"cast(array() as array<{t}>)") for c, t in types.items()}
+    arrays = [F.coalesce(F.col(f"found.{c}"), none[c]).alias(c) for c in types]
+    return chunks.join(found, "chunk", "left").select(*[F.col(c) for c in chunks.columns], *arrays)
+
+
+def _classed(chunks: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """The chunks with the counts in the corpus of those words that others have too, and a round of training."""
+    several = vocabulary.filter(F.size("places") > 1).select(F.explode("places").alias("p"), F.col("n").alias("all"))
+    values = several.select("p.chunk", "p.at", "all")
+    rank = F.pmod(F.xxhash64("chunk"), F.lit(max(1, chunks.count())))
+    turn = (F.floor(F.log2(F.greatest(rank / FIRST_ROUND, F.lit(0.5)))) + 1).cast("int")
+    return _of_chunks(values, chunks, {"at": "int", "all": "bigint"}).withColumn("turn", turn)
+
+
+def _read(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A chunk's places in its list of words, what stands around each, and the words' counts in the corpus."""
+    places, words = _unzipped(row.places), row.words.view(np.uint64)
+    _, around = neighbours(np.split(words[places], np.cumsum(row.sizes)[:-1]))
+    # A word that no other chunk has stands here only.
+    counts = row.n.astype(np.int64)
+    counts[row.at] = row.all
+    return places, around, counts
+
+
+def _kinds(counts: np.ndarray, bounds: list[int]) -> np.ndarray:
+    """Classes of words by their counts."""
+    falling = -np.array(bounds, np.int64)
+    return np.searchsorted(falling, -counts, side="left")
+
+
+def train_in_rounds(classed: DataFrame, bounds: list[int], sizes: np.ndarray) -> Network:
+    """Passes the mean network from round to round; every chunk has its turn once.
+
+    The first one knows the classes' shares of the corpus (``sizes``).
+    """
+    network = Network.start()
+    network.offsets = np.log((sizes + 1) / (sizes + 1).sum()).astype(np.float32)
+    task = F.spark_partition_id().cast("bigint").alias("task")
+    for turn in sorted(r["turn"] for r in classed.select("turn").distinct().collect()):
+        shared = classed.sparkSession.sparkContext.broadcast(network.pack())
+
+        def run(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            own, n, task = Network.unpack(shared.value), 0, 0
+            for frame in frames:
+                for row in frame.itertuples():
+                    places, around, counts = _read(row)
+                    n, task = n + _learn_all(own, _kinds(counts, bounds)[places], around), row.task
+            if n:
+                yield _task_network(task, n, own)
+
+        part = classed.filter(F.col("turn") == turn).select("sizes", "words", "n", "places", "at", "all", task)
+        network = _mean(part.mapInPandas(run, PARTS), network)
+    return network
+
+
+PLACED = (
+    "chunk bigint, keys array<string>, sizes array<int>, sums array<double>, pairs binary, kind_code array<int>, "
+    "all array<bigint>, n array<int>, shared array<int>, word array<bigint>, totals array<bigint>"
+)
+
+
+def _place(shared, bounds: list[int]):
+    """Per chunk the class step's sums, and its distinct pairs of word and code."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        network = Network.unpack(shared.value)
+        for frame in frames:
+            for row in frame.itertuples():
+                places, around, counts = _read(row)
+                kinds = _kinds(counts, bounds)
+                wanted, found = kinds[places], np.empty(len(places))
+                codes = np.empty(len(places), np.int64)
+                for begin in range(0, len(places), BATCH):
+                    part = slice(begin, begin + BATCH)
+                    scores, hidden, _ = network.log_classes(around[part], steady=True)
+                    found[part] = scores[np.arange(len(scores)), wanted[part]]
+                    unit = np.abs(hidden).argmax(axis=1)
+                    codes[part] = 2 * unit + (hidden[np.arange(len(unit)), unit] > 0)
+                owner = np.repeat(np.arange(len(row.sizes)), row.sizes)
+                pairs, at, n = np.unique(places * CODES + codes, return_inverse=True, return_counts=True)
+                word = pairs // CODES
+                # Pairs of a word that no other chunk has are whole as they are.
+                several = np.flatnonzero(counts[word] > row.n[word])
+                yield pd.DataFrame(
+                    {
+                        "chunk": [row.chunk],
+                        "keys": [row.keys],
+                        "sizes": [row.sizes],
+                        "sums": [np.bincount(owner, found, len(row.sizes))],
+                        "pairs": [_zipped(at)],
+                        "kind_code": [(kinds[word] * CODES + pairs % CODES).astype(np.int32)],
+                        "all": [counts[word]],
+                        "n": [n.astype(np.int32)],
+                        "shared": [several.astype(np.int32)],
+                        "word": [row.words[word[several]]],
+                        "totals": [np.bincount(wanted * CODES + codes, minlength=CLASSES * CODES)],
+                    }
+                )
+
+    return run
+
+
+def _finish(shared):
+    """Adds the in-class step: the share of the word in its class among places of the same code."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        classes, contexts = shared.value
+        for frame in frames:
+            for row in frame.itertuples():
+                n = row.n.astype(np.float64)
+                n[row.at] = row.whole
+                prior = SMOOTH * row.all / classes[row.kind_code // CODES]
+                logs = np.log((n + prior) / (contexts[row.kind_code] + SMOOTH))
+                owner = np.repeat(np.arange(len(row.sizes)), row.sizes)
+                inside = np.bincount(owner, logs[_unzipped(row.pairs)], len(row.sizes))
+                yield pd.DataFrame({"key": row.keys, "n_tokens": row.sizes, "log_likelihood": row.sums + inside})
+
+    return run
+
+
 def lm_scores(
     docs: DataFrame, text_column: str = "text", carry: DataFrame | None = None
 ) -> DataFrame:
@@ -241,24 +470,39 @@ def lm_scores(
     The network is the same for the same rows in the same partitions.
     """
     carried = docs if carry is None else carry
-    texts = docs.select(F.col(f"`{text_column}`").alias("text"))
-    classes = Classes.by_frequency(bucket_counts(texts))
-    network = train(texts, classes)
-    shared = docs.sparkSession.sparkContext.broadcast((network.pack(), classes))
-
-    @F.pandas_udf("n_tokens bigint, log_likelihood double, per_token double")
-    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        flat, own_classes = shared.value
-        own = Network.unpack(flat)
-        for batch in batches:
-            for part in _slices(batch):
-                sizes = np.array([len(t) for t in part])
-                sums = score_texts(part, own, own_classes)
-                mean = np.where(sizes > 0, sums / np.maximum(sizes, 1), np.nan)
-                yield pd.DataFrame(dict(zip(RESULTS, (sizes, sums, mean), strict=True)))
-
-    made = docs.select(packed(carried), scored(F.col(f"`{text_column}`")).alias("made"))
-    per_token = F.when(F.col("made.n_tokens") > 0, F.col("made.per_token"))
-    return made.select(
-        "row", "made.n_tokens", "made.log_likelihood", per_token.alias("per_token")
-    ).select(unpacked(carried.columns, RESULTS))
+    context = docs.sparkSession.sparkContext
+    text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
+    # What a text scores depends on the text only, so its digest finds its row again.
+    rows = written(docs.select(packed(carried), F.md5(text).alias("key")), "rows")
+    texts = docs.select(F.md5(text).alias("key"), text.alias("text"))
+    chunks = written(texts.mapInPandas(_chunks, CHUNKS), "chunks")
+    vocabulary = vocabulary_of(chunks)
+    bounds, sizes = class_bounds(vocabulary)
+    classed = written(_classed(chunks, vocabulary), "classed")
+    discard(chunks)
+    discard(vocabulary)
+    network = context.broadcast(train_in_rounds(classed, bounds, sizes).pack())
+    placed = written(classed.drop("turn").mapInPandas(_place(network, bounds), PLACED), "placed")
+
+    contexts = np.zeros(CLASSES * CODES)
+    per_context = placed.select(F.posexplode("totals").alias("at", "n")).filter("n > 0").groupBy("at")
+    for at, n in per_context.agg(F.sum("n")).collect():
+        contexts[at] = n
+    pairs = placed.select(
+        "chunk", "kind_code", "n", F.explode(F.arrays_zip("shared", "word")).alias("p")
+    ).selectExpr("chunk", "p.shared as at", "p.word", f"kind_code[p.shared] % {CODES} as code", "n[p.shared] as n")
+    counted = pairs.groupBy("word", "code").agg(
+        F.sum("n").alias("whole"), F.collect_list(F.struct("chunk", "at")).alias("places")
+    )
+    values = written(counted, "word-contexts").select(F.explode("places").alias("p"), "whole")
+    shared = context.broadcast((sizes, contexts))
+    listed = _of_chunks(
+        values.select("p.chunk", "p.at", "whole"), placed.drop("shared", "word", "totals"), {"at": "int", "whole": "bigint"}
+    )
+    scored = listed.mapInPandas(_finish(shared), "key string, n_tokens bigint, log_likelihood double")
+    once = written(scored.groupBy("key").agg(F.max(F.struct("n_tokens", "log_likelihood")).alias("s")), "scored")
+    made = rows.join(once, "key").select("row", "s.*")
+    per_token = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
+    return made.select("row", "n_tokens", "log_likelihood", per_token.alias("per_token")).select(
+        unpacked(carried.columns, RESULTS)
+    )
