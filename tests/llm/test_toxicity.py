@@ -73,6 +73,16 @@ def test_clauses_and_not_words():
     assert model.score("a dunce. a dunce")[1] == 2
 
 
+def test_weak_insults_meet_the_grammar():
+    model = own_model(**{"dunce$": 2.0})
+    plain = model.score("such a dunce")[0]
+    assert model.score("you dunce")[0] > plain
+    assert model.score("such a dunce you are")[0] > plain
+    assert model.score("not a dunce")[0] < plain
+    assert model.score("it said dunce")[0] < plain
+    assert model.score("a dunce. a dunce")[1] == 2
+
+
 def test_threats_need_no_insult():
     model = own_model()
     assert model.score("I will kill you")[0] > model.score("I will kill time")[0] > model.score("I have time")[0]

@@ -48,9 +48,10 @@ MIN_TOXIC = 4
 SURENESS = 2.0
 # Findings beyond this sum say nothing more.
 ENOUGH = 20.0
-# Insults of less evidence are hints: a text's strongest one and the rest weigh differently.
+# Insults of less evidence go through the same table, but their findings have own weights.
 SURE = 4.0
-HINTS = {("hint",): 0.2, ("more hints",): 1.0}
+WEAK = "weak"
+WEAK_PART = 0.5
 # Words of the stretches whose least hash tells copies of a sample from other texts.
 COPY_WORDS = 5
 PRIOR_STRENGTH = 0.02
@@ -81,18 +82,25 @@ def _closed_words() -> dict[str, object]:
     return words | dict.fromkeys(ENDS, END) | dict.fromkeys(QUOTES, QUOTE)
 
 
+def outcomes(table: dict) -> dict[object, float]:
+    """The grammar's findings, and those of weak insults, with weights before any label was seen."""
+    found = findings(table)
+    weak = {(WEAK, out): WEAK_PART * w for out, w in found.items() if out[:1] == INSULT or out == AIMED_LATER}
+    return found | weak
+
+
 @dataclass
 class Toxicity:
     """What was learned: insults with their weights, and a weight per finding."""
 
     insults: dict[str, float]
-    weights: np.ndarray = field(default_factory=lambda: np.array([*findings(clause_table()).values(), *HINTS.values()]))
+    weights: np.ndarray = field(default_factory=lambda: np.array([*outcomes(clause_table()).values()]))
     offset: float = -3.0
 
     def prepare(self) -> Toxicity:
         """Builds the table of the grammar, for use in a task."""
         self.table = clause_table()
-        self.places = {out: i for i, out in enumerate([*findings(self.table), *HINTS])}
+        self.places = {out: i for i, out in enumerate(outcomes(self.table))}
         self.lengths = sorted({len(s) for s in self.insults if not s.endswith(WORD_END)}, reverse=True)
         self.closed = _closed_words()
         self.seen: dict[str, tuple[object, float] | None] = {}
@@ -112,8 +120,7 @@ class Toxicity:
     def features(self, text: str | None) -> tuple[np.ndarray, int]:
         """The summed weight of each finding, and the clauses with any."""
         sums = np.zeros(len(self.places))
-        clauses, state, gap, hit, weight_before = 0, 0, 0, False, 1.0
-        hints: list[float] = []
+        clauses, state, gap, hit, weight_before, weak_before = 0, 0, 0, False, 1.0, False
         seen, table = self.seen, self.table
         for token in TOKENS.findall(text.lower()) if text else ():
             if token in seen:
@@ -129,19 +136,17 @@ class Toxicity:
                 state = table[WORD][state][0]
             gap = 0
             kind, weight = found
-            if kind == INSULT and weight < SURE:
-                hints.append(weight)
-                kind = WORD
+            weak = kind == INSULT and weight < SURE
             state, out, _ = table[kind][state]
             if out is not None:
                 # A target behind an insult counts by the insult that it closes.
-                sums[self.places[out]] += weight_before if out == AIMED_LATER else weight
-                weight_before = weight
+                if out == AIMED_LATER:
+                    weight, weak = weight_before, weak_before
+                sums[self.places[(WEAK, out) if weak else out]] += weight
+                weight_before, weak_before = weight, weak
                 hit = True
             if kind == END:
                 clauses, hit = clauses + hit, False
-        if hints:
-            sums[-2:] = max(hints), sum(hints) - max(hints)
         return sums, clauses + hit
 
     def score(self, text: str | None) -> tuple[float, int]:
