@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from wordflow.llm.decontamination import contaminated
 from wordflow.llm.line_dedup import line_dedup
 from wordflow.llm.lm import lm_scores
+from wordflow.llm.mixing import mix_sources
 from wordflow.llm.pieces import sentencepiece_encode
 from wordflow.llm.quality import quality_rules
 from wordflow.llm.repeats import remove_repeats
@@ -269,3 +270,82 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_toxicity(labelled_sample(docs, labels))
     scored = toxicity_scores(docs, model, carry=docs.select("doc_id"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "n_clauses")
+
+
+@query(
+    r"""
+with measured as (
+    select doc_id, source, coalesce(text, '') as text,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size
+    from documents
+),
+ticketed as (
+    select doc_id, source, size, length(bin(size)) as preference,
+        cast('0x' || substr(md5('mix:' || coalesce(cast(doc_id as varchar), '') || ':' || text), 1, 13) as bigint)
+            as ticket
+    from measured
+),
+sizes as (
+    select source, cast(sum(size) as double) as s, 3 * cast(sum(size) as double) as cap,
+        [5.0::double, 2, 1][((row_number() over (order by source nulls last) - 1) % 3) + 1] as weight
+    from ticketed group by source
+),
+judged as (
+    select *, sum(s) over () as total,
+        cap * sum(weight) over (order by cap / weight, source nulls last rows between current row and unbounded following)
+            <= (sum(s) over () - coalesce(sum(cap) over (order by cap / weight, source nulls last
+                rows between unbounded preceding and 1 preceding), 0)) * weight as stops
+    from sizes
+),
+targets as (
+    select source, s as source_size, case when stops then cap
+        else (total - sum(case when stops then cap else 0 end) over ())
+            / sum(case when stops then 0 else weight end) over () * weight end as target
+    from judged
+),
+classes as (
+    select source, preference, cast(sum(size) as double) as words from ticketed group by source, preference
+),
+ordered as (
+    select c.*, source_size, target,
+        (target - 3 * coalesce(sum(words) over (partition by c.source order by preference desc
+            rows between unbounded preceding and 1 preceding), 0)) * preference
+        >= 3 * sum(words * preference) over (partition by c.source order by preference desc
+            rows between current row and unbounded following) as full_
+    from classes c join targets t on c.source is not distinct from t.source
+),
+rated as (
+    select *, case when full_ then 3.0::double else least(3.0::double, coalesce(
+        (target - 3 * sum(case when full_ then words else 0 end) over (partition by source))
+        / nullif(sum(case when full_ then 0 else words * preference end) over (partition by source), 0), 0)
+        * preference) end as copies
+    from ordered
+),
+planned as (
+    select *, floor(copies) as whole, copies - floor(copies) as chance,
+        target - sum(floor(copies) * words) over (partition by source) as left_
+    from rated
+),
+drawn as (
+    select d.doc_id, d.size, p.source, p.source_size, p.target, p.whole, p.chance, p.left_,
+        ((d.ticket + 0.5) / 4503599627370496.0::double) as u, d.ticket
+    from ticketed d join planned p on d.source is not distinct from p.source and d.preference = p.preference
+),
+ranked as (
+    select *, case when chance > 0 and size > 0 then u / (1 - u) / (chance / (1 - chance)) end as odds from drawn
+),
+ordered_docs as (
+    select *, sum(size) over (partition by source, odds is null
+        order by floor(odds / (1 + odds) * 9007199254740992.0::double), doc_id rows unbounded preceding) as upto
+    from ranked
+)
+select doc_id, size, cast(source_size as bigint) as source_size, target,
+    cast(size * (whole + case when odds is null then 0 when upto <= left_ then 1
+        when upto - size <= left_ and 2 * (left_ - (upto - size)) >= size then 1 else 0 end) as bigint) as taken
+from ordered_docs
+"""
+)
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its words, its source's words and target, and the words that the mix takes of it."""
+    docs = table(spark, sf_dir, "documents")
+    return mix_sources(docs, carry=docs.select("doc_id"))
