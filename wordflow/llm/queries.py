@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordflow.llm.alignment import align_tokenizers
 from wordflow.llm.decontamination import contaminated
 from wordflow.llm.line_dedup import line_dedup
 from wordflow.llm.lm import lm_scores
@@ -15,6 +16,7 @@ from wordflow.llm.mixing import mix_sources
 from wordflow.llm.pieces import sentencepiece_encode
 from wordflow.llm.quality import quality_rules
 from wordflow.llm.repeats import remove_repeats
+from wordflow.llm.runs import periodic_runs
 from wordflow.llm.simhash import simhash_groups
 from wordflow.llm.token_counts import (
     Rollup,
@@ -54,6 +56,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 @query(
@@ -349,3 +352,48 @@ def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: its words, its source's words and target, and the words that the mix takes of it."""
     docs = table(spark, sf_dir, "documents")
     return mix_sources(docs, carry=docs.select("doc_id"))
+
+
+def planted(doc_id: Column, text: Column) -> Column:
+    """The text; of a tenth of the ids with its words repeated from some place on, by the contract of operator 11."""
+    told = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(told / 10)
+    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"))
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w).cast("bigint")
+        a = g % n
+        p = F.floor((n - a) / (3 + g % 8)) + 1
+        tail = F.transform(F.sequence(a, n - 1), lambda i: F.get(w, (a + (i - a) % p).cast("int")))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(w, F.lit(1), a.cast("int")), tail), " ")).otherwise(text)
+
+    # The words are looked up many times, so they are made an argument first.
+    return F.when((told % 10 == 0) & text.isNotNull(), F.get(F.transform(F.array(words), repeated), 0)).otherwise(text)
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its periodic runs, the longest one, and digests of all and of the collapsed text."""
+    docs = table(spark, sf_dir, "documents")
+    found = periodic_runs(docs.select("doc_id", planted(F.col("doc_id"), F.col("text")).alias("text")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    order = F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"]))
+    best = F.array_min(order)
+    return found.select("doc_id", "n_runs", lines.alias("lines"), best.alias("best"), "collapsed").select(
+        "doc_id",
+        "n_runs",
+        F.col("best.start").alias("start"),
+        (-F.col("best.col1")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(-1000 * F.col("best.col1") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join("lines", ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query()
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its tokens under both tokenizers, their groups, and how usual its links are in the corpus."""
+    docs = table(spark, sf_dir, "documents")
+    found = align_tokenizers(docs, BYTE_TOKENIZER, PIECE_MODEL, carry=docs.select("doc_id"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
