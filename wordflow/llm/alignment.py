@@ -13,10 +13,10 @@ once, so what is shuffled are distinct pairs per chunk, not places.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import zlib
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import count
 
@@ -32,8 +32,10 @@ from wordflow.llm.common import packed, unpacked, written
 LINKS = 1 << 20
 # Characters that are encoded together.
 CHARS = 1 << 19
-# Every so many ends one is looked up from the text's first token on, the others from there.
-PIVOT = 64
+# Ends are looked up in steps: first every 512th, then every 64th from there, and so on.
+PIVOTS = (512, 64, 8, 1)
+# Fixed value: what the byte-level pre-tokenizer splits texts by.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 RESULTS = ["n_a", "n_b", "n_groups", "n_overlaps", "n_links", "n_best", "count_sum", "groups"]
 
 
@@ -55,46 +57,59 @@ def piece_bytes(piece: str) -> bytes:
     return piece.replace("▁", " ").encode()
 
 
-@dataclass
+def byte_level(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[bytes]]:
+    """The encoder of a byte-level tokenizer file, and the bytes of its ids.
+
+    Where merges are ranked as their ids are, and nothing but the usual pattern
+    splits texts, ranks say it all, and the faster library for ranks gives the same ids.
+    """
+    with open(path, encoding="utf-8") as file:
+        told = json.load(file)
+    letters, names = byte_letters(), dict(told["model"]["vocab"])
+    spelled = {n: bytes(letters[c] for c in name) for name, n in names.items() if all(c in letters for c in name)}
+    spelled |= {extra["id"]: extra["content"].encode() for extra in told.get("added_tokens") or []}
+    merges = ("".join(m) if isinstance(m, list) else m.replace(" ", "") for m in told["model"]["merges"])
+    usual = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    by_rank = all(names[joined] == 256 + i for i, joined in enumerate(merges)) and sorted(
+        names[c] for c in letters
+    ) == list(range(256))
+    table = [spelled.get(i, b"") for i in range(max(spelled) + 1)]
+    odd = {k for k, v in told["model"].items() if v and k not in ("type", "vocab", "merges")}
+    if by_rank and told["pre_tokenizer"] == usual and told["normalizer"] is None and not odd:
+        import tiktoken
+
+        ranks = {spelled[n]: n for n in names.values()}
+        own = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return lambda texts: [own.encode_ordinary(t) for t in texts], table
+    # Spark's tasks are the parallelism.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(path)
+    whole.encode_special_tokens = True
+    return lambda texts: [e.ids for e in whole.encode_batch_fast(texts, add_special_tokens=False)], table
+
+
 class Tokenizers:
     """A byte-level tokenizer (A) and a piece model (B), with the bytes of all their tokens."""
 
-    byte_level: object
-    pieces: object
-    bytes_a: list[bytes]
-    bytes_b: list[bytes]
-
-    @classmethod
-    def load(cls, byte_path: str, piece_path: str) -> Tokenizers:
-        # Spark's tasks are the parallelism.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, byte_path: str, piece_path: str) -> None:
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        byte_level = Tokenizer.from_file(byte_path)
-        byte_level.encode_special_tokens = True
-        letters = byte_letters()
-        names = byte_level.get_vocab()
-        bytes_a = [b""] * (max(names.values()) + 1)
-        for name, number in names.items():
-            bytes_a[number] = bytes(letters[c] for c in name) if all(c in letters for c in name) else name.encode()
-        pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-        bytes_b = [piece_bytes(pieces.id_to_piece(i)) for i in range(pieces.get_piece_size())]
-        return cls(byte_level, pieces, bytes_a, bytes_b)
-
-    def __post_init__(self) -> None:
-        self.sizes_a = np.array(list(map(len, self.bytes_a)), np.int64)
-        self.sizes_b = np.array(list(map(len, self.bytes_b)), np.int64)
+
+        self.encode_a, self.bytes_a = byte_level(byte_path)
+        self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
+        self.bytes_b = [piece_bytes(self.pieces.id_to_piece(i)) for i in range(self.pieces.get_piece_size())]
+        self.sizes_a, self.sizes_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
         # How an id is written within its group and side, and as the last one there.
         self.shown = [f"{i}{mark}" for i in range(len(self.bytes_a)) for mark in ",|"]
         self.shown += [f"{i}{mark}" for i in range(len(self.bytes_b)) for mark in ",;"]
 
     def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
         """Both ids of each text; none where the bytes of either are not those of the text behind a blank."""
-        first = self.byte_level.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)
+        first = self.encode_a([f" {t}" for t in texts])
         second = self.pieces.encode(texts, num_threads=1)
         found = []
-        for text, a, b in zip(texts, (e.ids for e in first), second, strict=True):
+        for text, a, b in zip(texts, first, second, strict=True):
             whole = b" " + text.encode()
             same = text and all(
                 b"".join(map(table.__getitem__, ids)) == whole for table, ids in ((self.bytes_a, a), (self.bytes_b, b))
@@ -106,7 +121,7 @@ class Tokenizers:
 @lru_cache(maxsize=1)
 def tokenizers(byte_path: str, piece_path: str) -> Tokenizers:
     """Once per process."""
-    return Tokenizers.load(byte_path, piece_path)
+    return Tokenizers(byte_path, piece_path)
 
 
 def gallop(ends: np.ndarray, wanted: np.ndarray, begin: np.ndarray) -> np.ndarray:
@@ -131,10 +146,14 @@ def gallop(ends: np.ndarray, wanted: np.ndarray, begin: np.ndarray) -> np.ndarra
 
 def ranks(driving: np.ndarray, longer: np.ndarray, first: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """Places in ``longer`` of all ``driving`` ends. ``first`` and ``begin``: per driving end its text's first token in either list."""
-    every = np.arange(len(driving))
-    pivots = every[(every - first) % PIVOT == 0]
-    found = gallop(longer, driving[pivots], begin[pivots])
-    return gallop(longer, driving, found[np.searchsorted(pivots, every, side="right") - 1])
+    place = np.arange(len(driving)) - first
+    found = begin.copy()
+    for wide, near in zip((None, *PIVOTS), PIVOTS):
+        chosen = np.flatnonzero(place % near == 0)
+        # From where the last one of the wider steps was found.
+        at = first[chosen] + (place[chosen] // wide * wide if wide else 0)
+        found[chosen] = gallop(longer, driving[chosen], found[at])
+    return found
 
 
 class Alignment:
@@ -142,9 +161,7 @@ class Alignment:
 
     def __init__(self, known: Tokenizers, encoded: list[tuple[list[int], list[int]]]) -> None:
         self.known = known
-        self.a, self.b = (
-            np.concatenate([np.zeros(0, np.int64), *[np.array(e[k], np.int64) for e in encoded]]) for k in (0, 1)
-        )
+        self.a, self.b = (np.concatenate([np.zeros(0, np.int64), *[np.array(e[k], np.int64) for e in encoded]]) for k in (0, 1))
         self.n_a, self.n_b = (np.array([len(e[k]) for e in encoded], np.int64) for k in (0, 1))
         self.first_a, self.first_b = (np.cumsum(n) - n for n in (self.n_a, self.n_b))
         ends_a, ends_b = np.cumsum(known.sizes_a[self.a]), np.cumsum(known.sizes_b[self.b])
