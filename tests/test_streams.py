@@ -191,7 +191,7 @@ def test_queries_take_a_table_as_file_or_folder(spark, tmp_path, name):
         rows = QUERIES[name](spark, sf_dir).collect()
         seen.append(sorted(map(str, rows)))
     assert seen[0] == seen[1] and seen[0]
-    assert len(_in_turn(_timed_event_lines(spark, str(tmp_path)))) > 1
+    assert len(_in_turn(_timed_event_lines(spark, str(tmp_path)), str(tmp_path / "turns"))) > 1
 
 
 @pytest.mark.parametrize("lateness", ["0 seconds", "6 hours", "3 days"])

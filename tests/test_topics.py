@@ -28,7 +28,8 @@ def topic(spark, tmp_path):
 def test_top_k_topic(spark, topic, tmp_path, monkeypatch):
     sent = []
 
-    def send(top, servers, name, key, value):
+    def send(top, servers, name, key, value, with_ids):
+        assert with_ids
         sent.extend((bytes(r.key), bytes(r.value), name) for r in to_records(top, key, value).collect())
 
     closing = spark.sql(

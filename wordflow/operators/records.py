@@ -43,9 +43,9 @@ def _as_bytes(df: DataFrame, name: str) -> Column:
     return string_bytes(df[name])
 
 
-def to_records(df: DataFrame, key: str = "key", value: str = "value") -> DataFrame:
+def to_records(df: DataFrame, key: str = "key", value: str = "value", *kept: str) -> DataFrame:
     """``key binary, value binary``: integers and doubles take eight bytes, text is UTF-8.
 
-    All other columns, window bounds too, are left behind.
+    All other columns but ``kept``, window bounds too, are left behind.
     """
-    return df.select(_as_bytes(df, key).alias("key"), _as_bytes(df, value).alias("value"))
+    return df.select(_as_bytes(df, key).alias("key"), _as_bytes(df, value).alias("value"), *kept)

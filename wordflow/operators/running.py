@@ -12,12 +12,35 @@ from wordflow.operators.order import order_numbers, split_points, with_range
 
 # A name that no table has.
 RANGE = "__order_range"
+# The range of totals that come before all rows.
+BEFORE_ALL = -1
 
 
 def _one_element_per_row(rows: DataFrame) -> DataFrame:
     return rows
 
 
+def total_of(
+    rows: DataFrame,
+    mergeable: Mergeable,
+    order: Sequence[str],
+    element: str = "word",
+    expand: Callable[[DataFrame], DataFrame] = _one_element_per_row,
+    within: Sequence[str] = (),
+    start: DataFrame | None = None,
+) -> DataFrame:
+    """One row with the parts of the accumulator over ``start`` and all rows, null without elements.
+
+    Every task reduces its share to one row; only those rows meet.
+    """
+    elements = expand(rows)
+    lifted = mergeable.lifted(F.col(element), order_numbers(elements, [*order, *within]))
+    totals = elements.select(*lifted).agg(*mergeable.totals())
+    if start is None:
+        return totals
+    return totals.unionByName(start.select(*mergeable.parts)).agg(*mergeable.totals())
+
+
 def running_combine(
     rows: DataFrame,
     mergeable: Mergeable,
@@ -28,6 +51,7 @@ def running_combine(
     expand_for_totals: Callable[[DataFrame], DataFrame] | None = None,
     ranges: int | None = None,
     with_final: bool = False,
+    start: DataFrame | None = None,
 ) -> DataFrame:
     """Each element with the combined value of all elements up to it.
 
@@ -35,7 +59,8 @@ def running_combine(
     (words of a line, say), ordered by the columns ``within`` that it adds; rows
     are moved before they are expanded. ``expand_for_totals`` may leave out
     elements that do not change a total. ``with_final`` adds a column ``is_final``
-    and one more row that holds the last result and no element.
+    and one more row that holds the last result and no element. ``start`` is a row
+    of totals (``total_of``) that come before all rows.
 
     This is a prefix scan: the rows are cut into ranges of the order, one per
     task; each range is totalled; the totals before a range, put together, are
@@ -56,6 +81,8 @@ def running_combine(
         .groupBy(RANGE)
         .agg(*mergeable.totals())
     )
+    if start is not None:
+        totals = totals.unionByName(start.select(F.lit(BEFORE_ALL).alias(RANGE), *mergeable.parts))
     # One row per range, so one task is enough here.
     earlier = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(
@@ -64,7 +91,7 @@ def running_combine(
 
     # Range i goes to task i, and so does its start value: whatever join Spark
     # picks for them, the rows are not moved again.
-    starts = starts.repartitionById(tasks, F.col(RANGE))
+    starts = starts.filter(F.col(RANGE) > BEFORE_ALL).repartitionById(tasks, F.col(RANGE))
     moved = expand(placed.repartitionById(tasks, F.col(RANGE)))
     so_far = (
         Window.partitionBy(RANGE)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -19,14 +20,21 @@ from wordflow.operators.event_time import assign_event_time
 from wordflow.operators.records import keyed_lines, to_records, value_lines, with_key
 from wordflow.operators.stamps import judge_stamps, normalise_stamps, write_stamps
 from wordflow.operators.tokens import words
+from wordflow.operators.top import running_top_k
 from wordflow.plans import words as jobs
 from wordflow.session import SETTINGS, shared_folder
 from wordflow.sinks.batches import batch_folders
-from wordflow.sources.replay import paced_lines, replay_stream
+from wordflow.sinks.outbox import DELIVERY, Outbox, append_to_table, arrived_in_table
+from wordflow.sources.replay import fed_stream, paced_lines, staged_parts
 from wordflow.sources.tables import spread
 from wordflow.sources.text import placed_text_lines, text_lines, without_skipped
+from wordflow.sql import register_jobs
+from wordflow.streaming.elements import running_words, timed_stream
+from wordflow.streaming.panes import pane_stream
 from wordflow.streaming.running import combine_so_far, running_stream
-from wordflow.streaming.runs import run_available, run_to_end
+from wordflow.streaming.runs import run_available, run_in_turn, run_to_end
+from wordflow.streaming.stamps import committed_lines, stamp_stream
+from wordflow.streaming.top import top_k_so_far_stream
 from wordflow.streaming.windows import count_stream, top_k_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,31 +104,26 @@ def _timed_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_lines(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _in_turn(lines: DataFrame, arrival: Column | None = None) -> list[DataFrame]:
-    """``lines`` cut by ``arrival`` into spans of ten days, earliest first.
-
-    The spans are few: they go by the length of the time that the table covers.
-    """
-    at = F.col("ts") if arrival is None else arrival
-    span = F.floor(F.unix_seconds(at) / TEN_DAYS)
-    found = lines.select(span.alias("span")).distinct().collect()
-    return [lines.filter(span == n) for n in sorted(row["span"] for row in found)]
+def _span(at: Column) -> Column:
+    """Spans of ten days. They are few: they go by the length of the time that the table covers."""
+    return F.floor(F.unix_seconds(at) / TEN_DAYS)
 
 
-def _feed(spark: SparkSession, lines: DataFrame, folder: str) -> DataFrame:
-    """A stream of what will be put under ``folder``, in the shape of ``lines``."""
-    spark.createDataFrame([], lines.schema).write.parquet(folder)
-    return replay_stream(spark, folder, lines.schema)
+def _in_turn(lines: DataFrame, folder: str, part: Column | None = None) -> list[str]:
+    """``lines``, read once, in a folder per span of ten days or per value of ``part``, in this order."""
+    return staged_parts(lines, f"{folder}/parts", _span(F.col("ts")) if part is None else part)
 
 
 def _run_in_turn(
     spark: SparkSession,
-    parts: list[DataFrame],
+    lines: DataFrame,
     folder: str,
     writer: Callable[[DataFrame], DataStreamWriter],
+    part: Column | None = None,
 ) -> None:
-    """A micro-batch per part, then the end of all windows."""
-    stream = _feed(spark, parts[0], f"{folder}/in")
+    """A micro-batch per part of ``lines``, then the end of all windows."""
+    parts = _in_turn(lines, folder, part)
+    stream = fed_stream(spark, f"{folder}/in", lines.schema)
     run_to_end(stream, f"{folder}/ending", writer, parts=parts, feed=f"{folder}/in")
 
 
@@ -569,7 +572,7 @@ def stream_windowed_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "windows")
     _run_in_turn(
         spark,
-        _in_turn(_timed_event_lines(spark, sf_dir)),
+        _timed_event_lines(spark, sf_dir),
         folder,
         lambda lines: count_stream(lines, "1 hour", f"{folder}/out", f"{folder}/state"),
     )
@@ -600,24 +603,30 @@ words as (
 )"""
 
 
+def _arrival() -> Column:
+    """When a row comes: views are five hours late, errors two days."""
+    seconds = "case event_type when 'view' then 18000 when 'error' then 172800 else 0 end"
+    return F.expr(f"ts + make_interval(0, 0, 0, 0, 0, 0, {seconds})")
+
+
+def _delayed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _records(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_type")
+    return keyed_lines(events).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 @query(f"with {DELAYED_WORDS}, {_windowed('1 hour')} select * from counts")
 def stream_windowed_word_count_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows up to six hours late count. Five hours late ones do, some of those two days late don't."""
     folder = shared_folder(spark, "late")
-    events = _records(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_type")
-    lines = keyed_lines(events).withColumn("ts", F.col("ts").cast("timestamp"))
-    delay = (
-        F.when(F.col("event_type") == "view", F.expr("interval 5 hours"))
-        .when(F.col("event_type") == "error", F.expr("interval 2 days"))
-        .otherwise(F.expr("interval 0 hours"))
-    )
+    lines = _delayed_lines(spark, sf_dir)
     _run_in_turn(
         spark,
-        _in_turn(lines, F.col("ts") + delay),
+        lines,
         folder,
         lambda stream: count_stream(
             stream, "1 hour", f"{folder}/out", f"{folder}/state", lateness="6 hours"
         ),
+        part=_span(_arrival()),
     )
     return _ntz(spark.read.parquet(f"{folder}/out"), "window_start", "window_end")
 
@@ -633,9 +642,10 @@ def stream_late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     later = F.col("ts") >= "2024-01-16"
     _run_in_turn(
         spark,
-        [lines.filter(later), lines.filter(~later)],
+        lines,
         folder,
         lambda stream: count_stream(stream, "1 hour", f"{folder}/out", f"{folder}/state"),
+        part=F.when(later, 0).otherwise(1),
     )
     return _ntz(spark.read.parquet(f"{folder}/out"), "window_start", "window_end")
 
@@ -645,7 +655,7 @@ def stream_top_k_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "top")
     _run_in_turn(
         spark,
-        _in_turn(_timed_event_lines(spark, sf_dir)),
+        _timed_event_lines(spark, sf_dir),
         folder,
         lambda lines: top_k_stream(
             lines, "1 day", 3, batch_folders(f"{folder}/out"), f"{folder}/state"
@@ -657,16 +667,16 @@ def stream_top_k_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _results_in_turn(
     spark: SparkSession,
-    parts: list[DataFrame],
+    lines: DataFrame,
     folder: str,
     results: Callable[[DataFrame], DataFrame],
+    part: Column | None = None,
 ) -> DataFrame:
     """What ``results`` gives after each part, with ``batch_id``."""
-    stream = _feed(spark, parts[0], f"{folder}/in")
-    for part in parts:
-        part.write.mode("append").parquet(f"{folder}/in")
-        writer = running_stream(results(stream), batch_folders(f"{folder}/out"), f"{folder}/state")
-        run_available(spark, writer)
+    parts = _in_turn(lines, folder, part)
+    stream = fed_stream(spark, f"{folder}/in", lines.schema)
+    writer = running_stream(results(stream), batch_folders(f"{folder}/out"), f"{folder}/state")
+    run_in_turn(spark, writer, parts, f"{folder}/in")
     return spark.read.parquet(f"{folder}/out")
 
 
@@ -681,22 +691,29 @@ def _average_so_far(lines: DataFrame) -> DataFrame:
 
 @query(f"with {EVENT_WORDS} select word from words {LONGEST_EVENT_WORD}")
 def stream_longest_word(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = _in_turn(_timed_event_lines(spark, sf_dir))
-    results = _results_in_turn(spark, parts, shared_folder(spark, "longest"), _longest_so_far)
+    lines = _timed_event_lines(spark, sf_dir)
+    results = _results_in_turn(spark, lines, shared_folder(spark, "longest"), _longest_so_far)
     return results.agg(F.max_by("word", "batch_id").alias("word"))
 
 
 @query(f"with {EVENT_WORDS} select {AVERAGE} from words")
 def stream_average_word_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = _in_turn(_timed_event_lines(spark, sf_dir))
-    results = _results_in_turn(spark, parts, shared_folder(spark, "average"), _average_so_far)
+    lines = _timed_event_lines(spark, sf_dir)
+    results = _results_in_turn(spark, lines, shared_folder(spark, "average"), _average_so_far)
     return _rounded(results.agg(F.max_by("avg_len", "batch_id").alias("avg_len")))
 
 
-def _wordless_first(lines: DataFrame) -> list[DataFrame]:
-    """The parts of ``lines``, each behind its own lines without their words."""
-    hidden = F.regexp_replace("line", r"\w+", "?")
-    return [p for part in _in_turn(lines) for p in (part.withColumn("line", hidden), part)]
+def _wordless_first(lines: DataFrame) -> DataFrame:
+    """``lines``, and as an earlier ``half`` all of them without their words."""
+    hidden = F.struct(F.lit(0).alias("half"), F.regexp_replace("line", r"\w+", "?").alias("line"))
+    shown = F.struct(F.lit(1).alias("half"), F.col("line"))
+    halves = lines.select("*", F.explode(F.array(hidden, shown)).alias("two"))
+    return halves.select(*[c for c in lines.columns if c != "line"], "two.*")
+
+
+def _half_spans() -> Column:
+    """The lines of a span come after its lines without words."""
+    return 2 * _span(F.col("ts")) + F.col("half")
 
 
 SPANS = f"""{EVENT_WORDS},
@@ -712,8 +729,8 @@ spans as (select *, floor(epoch(ts) / {TEN_DAYS}) as span from words)"""
 )
 def stream_average_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All results, in order. A micro-batch of lines without words gives none."""
-    parts = _wordless_first(_timed_event_lines(spark, sf_dir))
-    results = _results_in_turn(spark, parts, shared_folder(spark, "averages"), _average_so_far)
+    lines = _wordless_first(_timed_event_lines(spark, sf_dir))
+    results = _results_in_turn(spark, lines, shared_folder(spark, "averages"), _average_so_far, _half_spans())
     # As many rows as micro-batches.
     place = F.row_number().over(Window.orderBy("batch_id")).cast("bigint")
     return _rounded(results.select(place.alias("result"), "avg_len"))
@@ -725,11 +742,282 @@ def stream_average_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
         select span, max({{'n': length(word), 'j': -epoch_us(ts), 'e': -event_id, 'p': -pos, 'w': word}}) as b
         from spans group by span
     ),
-    so_far as (select span, (max(b) over (order by span)).w as word from best)
-    select distinct word from so_far"""
+    so_far as (select span, (max(b) over (order by span)).w as word from best),
+    results as (
+        select 3 * row_number() over (order by span) - which as place,
+            case when which > 0 then lag(word) over (partition by which order by span) else word end as word
+        from so_far, (select unnest([2, 1, 0]) as which)
+    )
+    select row_number() over (order by place) as result, word from results where word is not null"""
 )
 def stream_longest_per_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All different results; none, and no null, while there was no word yet."""
-    parts = _wordless_first(_timed_event_lines(spark, sf_dir))
-    results = _results_in_turn(spark, parts, shared_folder(spark, "longests"), _longest_so_far)
-    return results.select("word").distinct()
+    """All results, in order; none, and no null, while there was no word yet.
+
+    Lines without words move the watermark, and the last result comes once more
+    with them and once when the watermark moves on.
+    """
+    lines = _wordless_first(_timed_event_lines(spark, sf_dir))
+    results = _results_in_turn(spark, lines, shared_folder(spark, "longests"), _longest_so_far, _half_spans())
+    # As many rows as micro-batches.
+    place = F.row_number().over(Window.orderBy("batch_id")).cast("bigint")
+    return results.select(place.alias("result"), "word")
+
+
+# Results per element, event times and panes of streams
+
+
+@query(
+    f"""with {RUNNING_AVERAGE}
+    select event_id, pos, element, round(avg_len, 6) as avg_len from running"""
+)
+def stream_running_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The average after every word of the stream, over all micro-batches so far."""
+    folder = shared_folder(spark, "elements")
+    _run_in_turn(
+        spark,
+        _timed_event_lines(spark, sf_dir),
+        folder,
+        lambda lines: running_words(
+            lines, AVERAGE_LENGTH, ["ts", "event_id"], batch_folders(f"{folder}/out"),
+            f"{folder}/totals", f"{folder}/state", with_default=True,
+        ),
+    )
+    running = spark.read.parquet(f"{folder}/out").filter("not is_final")
+    return _rounded(running.select("event_id", "pos", "element", "avg_len"))
+
+
+@query(ORACLES["running_longest_word"])
+def stream_running_longest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest word after every word of the stream, and once more at the end."""
+    folder = shared_folder(spark, "elements")
+    _run_in_turn(
+        spark,
+        _timed_event_lines(spark, sf_dir),
+        folder,
+        lambda lines: running_words(
+            lines, LONGEST_WORD, ["ts", "event_id"], batch_folders(f"{folder}/out"),
+            f"{folder}/totals", f"{folder}/state", with_final=True,
+        ),
+    )
+    return spark.read.parquet(f"{folder}/out").select("event_id", "pos", "element", "word", "is_final")
+
+
+@query(f"with {WORDLESS} select coalesce(avg(length(word)), cast('nan' as double)) as avg_len from words")
+def stream_average_empty_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of lines without words: its end gives the default, once."""
+    folder = shared_folder(spark, "wordless")
+    hidden = F.regexp_replace("line", r"\w+", "?")
+    lines = _timed_event_lines(spark, sf_dir).withColumn("line", hidden)
+    _run_in_turn(
+        spark,
+        lines,
+        folder,
+        lambda stream: running_words(
+            stream, AVERAGE_LENGTH, ["ts", "event_id"], batch_folders(f"{folder}/out"),
+            f"{folder}/totals", f"{folder}/state", with_default=True,
+        ),
+    )
+    return spark.read.parquet(f"{folder}/out").select("avg_len")
+
+
+@query(ORACLES["assigned_event_times"])
+def stream_assigned_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of a stream get the times that the whole table would give them."""
+    folder = shared_folder(spark, "times")
+    documents = _document_lines(spark, sf_dir).select("doc_id")
+    last = documents.agg(F.max("doc_id")).first()[0]
+    parts = _in_turn(documents, folder, F.floor(4 * F.col("doc_id") / (last + 1)))
+    stream = fed_stream(spark, f"{folder}/in", documents.schema)
+    writer = timed_stream(
+        stream, ["doc_id"], BASE, batch_folders(f"{folder}/out"), f"{folder}/totals", f"{folder}/state"
+    )
+    run_in_turn(spark, writer, parts, f"{folder}/in")
+    timed = spark.read.parquet(f"{folder}/out")
+    place = F.unix_millis("ts") - F.unix_millis(F.lit(str(BASE)).cast("timestamp"))
+    return _ntz(timed.select("doc_id", place.alias("place"), "ts"), "ts")
+
+
+PANES = f"""{RECORDS},
+arrivals as (
+    select l.event_id, l.ts, l.line, floor(epoch(l.ts + case e.event_type
+        when 'view' then interval '5 hours' when 'error' then interval '2 days'
+        else interval '0 hours' end) / {TEN_DAYS}) as span
+    from lines l join events e using (event_id)
+),
+marks as (
+    select span, max(max(ts)) over (order by span rows between unbounded preceding and 1 preceding) as before,
+        max(max(ts)) over (order by span) as upto
+    from arrivals group by span
+),
+placed as (
+    select a.*, before, time_bucket(interval '1 hour', ts, timestamp '1970-01-01') + interval '1 hour' as window_end
+    from arrivals a join marks using (span)
+),
+kept as (
+    select *, coalesce(window_end <= before, false) as late from placed
+    where before is null or window_end > before - interval '6 hours'
+),
+words as (
+    select span, window_end, late,
+        unnest(list_filter(regexp_split_to_array(line, '\\W+'), lambda w: w <> '')) as word
+    from kept
+),
+closed as (
+    select window_end, min(upto) as reached
+    from (select distinct window_end from kept) left join marks on upto >= window_end group by window_end
+),
+first_panes as (
+    select window_end, word, 0 as pane, 'on_time' as timing,
+        coalesce(reached - interval '6 hours' >= window_end, true) as is_last, count(*) as n
+    from words join closed using (window_end) where not late group by window_end, word, reached
+),
+late_panes as (
+    select l.window_end, l.word, row_number() over (partition by l.window_end, l.word order by span) - 1
+            + (f.word is not null)::int as pane, 'late' as timing, false as is_last, l.n
+    from (select window_end, word, span, count(*) as n from words where late group by all) l
+    left join first_panes f on f.window_end = l.window_end and f.word = l.word
+)"""
+
+
+@query(
+    f"""with {PANES}
+    select window_end - interval '1 hour' as window_start, window_end, word, cast(pane as integer) as pane,
+        timing, is_last, n
+    from (select * from first_panes union all select * from late_panes)"""
+)
+def stream_window_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows fire when they close and again for rows up to six hours late, which are counted alone."""
+    folder = shared_folder(spark, "panes")
+    _run_in_turn(
+        spark,
+        _delayed_lines(spark, sf_dir),
+        folder,
+        lambda stream: pane_stream(stream, "1 hour", f"{folder}/out", f"{folder}/state", lateness="6 hours"),
+        part=_span(_arrival()),
+    )
+    return _ntz(spark.read.parquet(f"{folder}/out"), "window_start", "window_end")
+
+
+# The top k of all windows so far
+
+RUNNING_TOP = f"""{EVENT_WORDS}, {_windowed("1 day")},
+days as (select distinct window_start, window_end from counts),
+so_far as (
+    select d.window_start, d.window_end, c.word, c.n, c.window_start as found_at,
+        row_number() over (partition by d.window_start order by c.n desc, c.word, c.window_start) as rank
+    from days d join counts c on c.window_start <= d.window_start
+)"""
+
+
+@query(f"with {RUNNING_TOP} select * replace (cast(rank as integer) as rank) from so_far where rank <= 5")
+def running_top_k_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = jobs.windowed_word_count(_event_lines(spark, sf_dir), "1 day")
+    return running_top_k(counts, 5)
+
+
+@query(f"with {RUNNING_TOP} select * replace (cast(rank as integer) as rank) from so_far where rank <= 5")
+def stream_top_k_so_far(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a stream, of which a state of five entries is kept."""
+    folder = shared_folder(spark, "top-so-far")
+    _run_in_turn(
+        spark,
+        _timed_event_lines(spark, sf_dir),
+        folder,
+        lambda lines: top_k_so_far_stream(
+            lines, "1 day", 5, batch_folders(f"{folder}/out"), f"{folder}/entries", f"{folder}/state"
+        ),
+    )
+    top = spark.read.parquet(f"{folder}/out").drop("batch_id")
+    return _ntz(top, "window_start", "window_end", "found_at")
+
+
+# Delivery and clean-up of streams, each record once
+
+
+class _Killed(Exception):
+    """Stands for the loss of the driver."""
+
+
+@query(ORACLES["records_long"])
+def stream_top_k_delivered_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records at a target that keeps what it gets. The job dies amid a send, then between a send and its commit."""
+    folder, deaths, died = shared_folder(spark, "delivery"), ["amid", "behind"], []
+    deliver = append_to_table(f"{folder}/topic")
+
+    def send(records: DataFrame) -> None:
+        encoded = to_records(records, "word", "n", DELIVERY)
+        death = deaths.pop(0) if deaths and not records.isEmpty() else None
+        deliver(encoded.filter(F.crc32("key") % 2 == 0) if death == "amid" else encoded)
+        if death:
+            died.append(death)
+            raise _Killed(death)
+
+    def arrived(records: DataFrame) -> DataFrame:
+        return arrived_in_table(f"{folder}/topic")(to_records(records, "word", "n", DELIVERY))
+
+    key = ["window_start", "word"]
+    lines = _timed_event_lines(spark, sf_dir)
+    parts = _in_turn(lines, folder)
+    for life in range(len(deaths) + 1):
+        outbox = Outbox(spark, "top words", f"{folder}/sent", key, send, arrived)
+        try:
+            run_to_end(
+                fed_stream(spark, f"{folder}/in", lines.schema),
+                f"{folder}/ending",
+                lambda stream: top_k_stream(stream, "1 day", 3, outbox, f"{folder}/state"),
+                parts=parts,
+                feed=f"{folder}/in",
+            )
+            break
+        except StreamingQueryException:
+            if len(died) <= life:
+                raise
+    return _shown(spark.read.parquet(f"{folder}/topic"))
+
+
+@query(ORACLES["stamps_written_once"])
+def stream_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned lines and rejects of a stream, from one read and with one commit per micro-batch."""
+    folder = shared_folder(spark, "stamp-stream")
+    lines = _stamped_lines(spark, sf_dir)
+    last = lines.agg(F.max("event_id")).first()[0]
+    parts = _in_turn(lines, folder, F.floor(4 * F.col("event_id") / (last + 1)))
+    stream = fed_stream(spark, f"{folder}/in", lines.schema)
+    run_in_turn(spark, stamp_stream(stream, f"{folder}/out", f"{folder}/state"), parts, f"{folder}/in")
+    found = committed_lines(spark, f"{folder}/out", lines.schema)
+    return found.select("event_id", "outcome", "line")
+
+
+# The jobs from SQL
+
+
+def _sql_jobs(lines: DataFrame, size: str = "3 seconds") -> SparkSession:
+    lines.createOrReplaceTempView("wordflow_lines")
+    register_jobs(lines.sparkSession, "wordflow_lines", size=size)
+    return lines.sparkSession
+
+
+def _sql_documents(spark: SparkSession, sf_dir: str) -> SparkSession:
+    timed = _document_lines(spark, sf_dir).withColumn("ts", F.lit(str(BASE)).cast("timestamp"))
+    return _sql_jobs(timed.withColumnRenamed("doc_id", "id"))
+
+
+@query(ORACLES["word_count"])
+def sql_word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql_documents(spark, sf_dir).sql("select * from word_counts")
+
+
+@query(ORACLES["longest_word"])
+def sql_longest_word(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sql_documents(spark, sf_dir).sql("select * from longest_words")
+
+
+@query(ORACLES["average_word_length"])
+def sql_average_word_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_sql_documents(spark, sf_dir).sql("select * from average_word_lengths"))
+
+
+@query(_top_sql("1 day", 3))
+def sql_top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = _event_lines(spark, sf_dir).withColumnRenamed("event_id", "id")
+    return _sql_jobs(lines, "1 day").sql("select * from top_words")

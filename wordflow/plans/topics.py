@@ -12,7 +12,8 @@ from pyspark.sql.streaming import DataStreamWriter
 from wordflow.functions.mergeable import AVERAGE_LENGTH, LONGEST_WORD
 from wordflow.operators.records import keyed_lines, with_key
 from wordflow.operators.tokens import words
-from wordflow.sinks.kafka import record_stream, write_records
+from wordflow.sinks.kafka import arrived_in_topic, record_stream, write_records
+from wordflow.sinks.outbox import Outbox
 from wordflow.sources.kafka import kafka_records
 from wordflow.streaming.running import combine_so_far
 from wordflow.streaming.windows import top_k_stream
@@ -28,13 +29,22 @@ def top_k_words_topic(
     k: int = 3,
     lateness: str = "0 seconds",
 ) -> DataStreamWriter:
-    """Key: word, value: its count as a long. Window bounds are not written."""
+    """Key: word, value: its count as a long. Window bounds are not written.
+
+    Every record arrives once, also if the query is killed between a send and its
+    commit: see ``Outbox``. Ids travel as headers.
+    """
     lines = keyed_lines(kafka_records(spark, servers, input_topic))
 
-    def send(top: DataFrame, batch_id: int) -> None:
-        write_records(top, servers, output_topic, key="word", value="n")
+    def send(records: DataFrame) -> None:
+        write_records(records, servers, output_topic, key="word", value="n", with_ids=True)
+
+    def arrived(records: DataFrame) -> DataFrame:
+        return arrived_in_topic(records, servers, output_topic)
 
-    return top_k_stream(lines, size, k, send, checkpoint, lateness=lateness)
+    name, folder = f"{input_topic} to {output_topic}", f"{checkpoint}/delivery"
+    outbox = Outbox(spark, name, folder, ["window_start", "word"], send, arrived)
+    return top_k_stream(lines, size, k, outbox, checkpoint, lateness=lateness)
 
 
 def longest_word_topic(

@@ -56,6 +56,12 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(spark.sparkContext.applicationId)
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """The Hadoop file system of a path, and the path as it knows it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def shared_base(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``. Only a local session may do without; it gets a new temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -74,8 +80,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     application = spark.sparkContext.applicationId
     if application not in _scratch:
         _scratch[application] = f"{shared_base(spark)}/wordflow-{application}"
-        place = spark._jvm.org.apache.hadoop.fs.Path(_scratch[application])
-        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        files, place = file_system(spark, _scratch[application])
         files.mkdirs(place)
         files.deleteOnExit(place)
     return f"{_scratch[application]}/{purpose}-{uuid.uuid4().hex}"

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from wordflow.sources.replay import put
+
 # A query keeps the settings it was started with.
 STREAM_SETTINGS = {
     # Late rows are judged by the watermark of the micro-batch before, not by
@@ -59,35 +61,50 @@ def _closing_row(spark: SparkSession, schema: T.StructType, ts: str) -> DataFram
     )
 
 
+@contextmanager
+def running(spark: SparkSession, writer: DataStreamWriter) -> Iterator[StreamingQuery]:
+    """A query that runs inside the block. ``processAllAvailable`` waits until it has caught up."""
+    query = start(spark, writer)
+    try:
+        yield query
+    finally:
+        query.stop()
+
+
+def run_in_turn(spark: SparkSession, writer: DataStreamWriter, parts: Iterable[str], feed: str) -> None:
+    """The staged ``parts`` put under ``feed`` one after the other, each a micro-batch of one query."""
+    with running(spark, writer) as query:
+        for part in parts:
+            put(spark, part, feed)
+            query.processAllAvailable()
+
+
 def run_to_end(
     lines: DataFrame,
     folder: str,
     writer: Callable[[DataFrame], DataStreamWriter],
     ts: str = "ts",
-    parts: Iterable[DataFrame] = (),
+    parts: Iterable[str] = (),
     feed: str | None = None,
 ) -> None:
     """Run over all available ``lines``, then let every open window close.
 
-    ``parts``, if given, are put under ``feed``, where ``lines`` reads, one after
-    the other, with a run for each: every part is a micro-batch of its own.
+    ``parts``, if given, are staged folders that are put under ``feed``, where
+    ``lines`` reads, one after the other: every part is a micro-batch of its own.
 
     Spark leaves the last windows open when a source ends. So the query reads a
     second source under ``folder`` too, empty at first; once the input is done a
-    row without words and with a time after all others is put there, and the
-    query resumes from its checkpoint. ``writer`` must set a checkpoint location.
-    After a failure the same call may be made again.
+    row without words and with a time after all others is put there. ``writer``
+    must set a checkpoint location. After a failure the same call may be made
+    again: the query resumes from its checkpoint, and parts are put once.
     """
     spark = lines.sparkSession
     spark.createDataFrame([], lines.schema).write.mode("ignore").parquet(folder)
-
-    def once() -> None:
-        ending = spark.readStream.schema(lines.schema).parquet(folder)
-        run_available(spark, writer(lines.unionByName(ending)))
-
-    for part in parts:
-        part.write.mode("append").parquet(feed)
-        once()
-    once()
-    _closing_row(spark, lines.schema, ts).write.mode("append").parquet(folder)
-    once()
+    ending = spark.readStream.schema(lines.schema).parquet(folder)
+    with running(spark, writer(lines.unionByName(ending))) as query:
+        query.processAllAvailable()
+        for part in parts:
+            put(spark, part, feed)
+            query.processAllAvailable()
+        _closing_row(spark, lines.schema, ts).write.mode("append").parquet(folder)
+        query.processAllAvailable()

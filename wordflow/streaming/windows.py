@@ -40,7 +40,8 @@ def top_k_stream(
     """Top k words of closed windows, ranked in the micro-batch that closes them.
 
     In append mode all counts of a window come in one micro-batch, so the ranks
-    are exact. ``sink`` may see a batch again after a failure.
+    are exact. ``sink`` may see a batch again after a failure; an ``Outbox`` delivers
+    it once.
     """
     counts = windowed_word_count(lines, size, ts=ts, lateness=lateness)
 
