@@ -31,6 +31,11 @@ def brute(docs, items, most):
         words = normal_words(text)
         for item, passage in items:
             other = normal_words(passage)
+            if 0 < len(other) < WINDOW:
+                places = [i for i in range(len(words)) if words[i : i + len(other)] == other]
+                for i in places:
+                    found.setdefault((doc, item), {})[i] = set(range(len(other)))
+                continue
             for i in range(len(words) - WINDOW + 1):
                 for j in range(len(other) - WINDOW + 1):
                     wrong = sum(a != b for a, b in zip(words[i : i + WINDOW], other[j : j + WINDOW], strict=True))
@@ -53,11 +58,52 @@ def test_same_as_brute_force(spark, most):
 
 def test_documents_that_leak_go(spark):
     docs = planted()
-    frame = spark.createDataFrame([(*d, "own") for d in docs], "doc_id bigint, text string, leak string")
+    frame = spark.createDataFrame([(*d, "own") for d in docs], "doc_id bigint, text string, doc string")
     bench = spark.createDataFrame(ITEMS, "item_id bigint, text string")
-    bad = {doc for doc, _ in brute(docs, ITEMS, 2)}
-    kept = decontaminate(frame, bench).collect()
-    assert sorted(str(r.doc_id) for r in kept) == sorted(str(d) for d, _ in docs if d is None or d not in bad)
+    lengths = {i: len(normal_words(t)) for i, t in ITEMS}
+    for least in (50, 90):
+        # Texts are judged, so the row without an id is too.
+        leaks = brute([(text, text) for _, text in docs], ITEMS, 2)
+        bad = {text for (text, item), n in leaks.items() if 100 * n // lengths[item] >= least}
+        kept = decontaminate(frame, bench, min_coverage=least).collect()
+        assert sorted(str(r.doc_id) for r in kept) == sorted(str(d) for d, text in docs if text not in bad)
+        assert any(d is None for d, text in docs if text in bad)
+
+
+def test_a_shared_phrase_is_not_a_leak(spark):
+    item = prose(1, 60).replace("\n", " ")
+    phrase = " ".join(item.split()[5 : 5 + WINDOW + 2])
+    rows = [(1, f"{prose(2, 200)} {phrase} {prose(3, 200)}"), (2, " ".join(item.split()[:40]))]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(9, item)], "item_id bigint, text string")
+    # 14 words, and two on either side that windows with two substitutions reach over.
+    assert {r.doc_id: r.coverage for r in contaminated(frame, bench).collect()} == {1: 30, 2: 66}
+    assert [r.doc_id for r in decontaminate(frame, bench).collect()] == [1]
+
+
+SHORT = [(1, "What is it?"), (2, "two"), (3, " \t"), (4, None), (5, ""), (6, "質問は何ですか"), (7, "!?"), (8, "What is it?")]
+
+
+def test_short_items_are_found_whole(spark):
+    rows = [
+        (1, "they ask what is, it then"), (2, "what it is"), (3, "Two words"), (4, "この質問は何ですか。"), (5, "質問は何"),
+        (6, None), (7, ""), (8, "!?"), (None, "what is it"), (9, prose(5, 3000) + " two"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for items in (SHORT, SHORT + [(20, prose(100, 30))]):
+        bench = spark.createDataFrame(items, "item_id bigint, text string")
+        got = {(r.doc_id, r.item_id): (r.overlap, r.coverage, r.doc_place) for r in contaminated(frame, bench).collect()}
+        assert got == {
+            (1, 1): (3, 100, 2), (3, 2): (1, 100, 0), (4, 6): (7, 100, 2), (None, 1): (3, 100, 0), (9, 2): (1, 100, 3000),
+        }
+        kept = [r.doc_id for r in decontaminate(frame, bench).collect()]
+        assert sorted(kept) == [2, 5, 6, 7, 8]
+
+
+def test_only_blank_items(spark, docs):
+    bench = spark.createDataFrame([(1, " "), (2, None), (3, "")], "item_id bigint, text string")
+    assert contaminated(docs, bench).count() == 0
+    assert decontaminate(docs, bench).count() == docs.count()
 
 
 def test_given_documents_and_empty_tables(spark, docs, no_docs, texts):
