@@ -124,3 +124,79 @@ def test_nothing_to_learn_from(spark, docs, no_docs):
     for labels in (none, clean):
         assert fit_toxicity(labelled_sample(docs, labels)).insults == {}
     assert fit_toxicity(labelled_sample(no_docs, clean)).insults == {}
+
+
+def fitted_rows(seed, n=400, k=12):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    found = rng.poisson(0.4, (n, k)) * rng.choice([0.5, 2.0, 5.0], k)
+    truth = rng.normal(0, 1.5, k)
+    toxic = (rng.random(n) < 1 / (1 + np.exp(3 - found @ truth))).astype(float)
+    return found, toxic, np.abs(rng.normal(0.5, 0.5, k))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_the_fit_converges(seed):
+    import numpy as np
+
+    from wordflow.llm.toxicity import LEAST_WEIGHT, PRIOR_STRENGTH, fit_weights
+
+    found, toxic, prior = fitted_rows(seed)
+    weights, offset, values = fit_weights(found, toxic, prior)
+    assert all(after <= before for before, after in zip(values, values[1:]))
+    assert (weights >= LEAST_WEIGHT).all()
+    # At a minimum the slope is flat, or leads over the bound.
+    rows = np.hstack([np.minimum(found, 20), np.ones((len(found), 1))])
+    whole = np.append(weights, offset)
+    slope = rows.T @ (1 / (1 + np.exp(-rows @ whole)) - toxic)
+    slope += np.append(np.full(len(prior), PRIOR_STRENGTH * 20), PRIOR_STRENGTH) * (whole - np.append(prior, -3.0))
+    held = np.append(weights <= LEAST_WEIGHT, False)
+    assert np.abs(slope[~held]).max() < 1e-4
+    assert (slope[held] >= -1e-4).all()
+
+
+def test_rows_that_can_be_told_apart_do_not_run_away():
+    import numpy as np
+
+    from wordflow.llm.toxicity import fit_weights
+
+    found = np.array([[1.0, 0.0]] * 50 + [[0.0, 1.0]] * 50)
+    weights, offset, values = fit_weights(found, np.array([1.0] * 50 + [0.0] * 50), np.array([1.0, 1.0]))
+    assert np.isfinite([*weights, offset, *values]).all()
+    assert weights[0] + offset > 2 > -2 > weights[1] + offset
+
+
+def clauses(kind, seed):
+    """Clauses around an insult or a threat; only the first two kinds are toxic."""
+    rng = random.Random(seed)
+    who, insult = rng.choice(["you", "she", "they"]), rng.choice(INSULTS)
+    filler = " ".join(prose(seed + 10_000, 12).split())
+    return {
+        "plain": f"{filler}. {who} are a {insult}. {filler}",
+        "threat": f"{filler}. i will hurt {who} now. {filler}",
+        "negated": f"{filler}. {who} are not a {insult}. {filler}",
+        "reported": f"{filler}. the paper said {insult} once. {filler}",
+        "aimless": f"{filler}. the rain may hurt crops. {filler}",
+    }[kind]
+
+
+def test_clauses_that_are_clean_in_context_are_learned(spark):
+    kinds = {"plain": (1, 300), "threat": (1, 150), "negated": (0, 60), "reported": (0, 60), "aimless": (0, 150)}
+    drawn = [(kind, toxic) for kind, (toxic, n) in kinds.items() for _ in range(n)]
+    rows = [(i, clauses(kind, i), toxic) for i, (kind, toxic) in enumerate(drawn)]
+    rows += [(len(rows) + i, prose(90_000 + i, 30), 0) for i in range(900)]
+    docs = spark.createDataFrame([r[:2] for r in rows], SCHEMA)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id bigint, toxic int")
+    model = fit_toxicity(labelled_sample(docs, labels)).prepare()
+    assert any(form.rstrip("$") in " ".join(INSULTS) for form in model.insults)
+    for kind, (toxic, _) in kinds.items():
+        predicted = [model.score(clauses(kind, 50_000 + i))[0] >= 0.3 for i in range(40)]
+        assert sum(predicted) >= 36 if toxic else sum(predicted) <= 4, kind
+
+
+def test_short_labelled_texts_are_not_copies(spark):
+    rows = [(i, f"word{i} thing") for i in range(6)] + [(6, "word0 thing"), (7, "")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, 1) for i in range(8)], "doc_id bigint, toxic int")
+    assert labelled_sample(docs, labels).count() == 7

@@ -38,8 +38,6 @@ from wordflow.llm.grammar import (
 
 #: Labelled rows that the fit looks at, those with the least hash of their id.
 MAX_LABELLED = 20_000
-#: Words and stems that are learned as insults at most, the surest first.
-MAX_INSULTS = 2000
 # A stem is the beginning of a word, a word is written with its end mark.
 STEM_CHARS = range(4, 9)
 WORD_END = "$"
@@ -55,7 +53,9 @@ WEAK_PART = 0.5
 # Words of the stretches whose least hash tells copies of a sample from other texts.
 COPY_WORDS = 5
 PRIOR_STRENGTH = 0.02
-STEPS = 60
+# The fit ends when no direction that is left open has a steeper slope than this.
+FLAT = 1e-5
+STEPS = 500
 THRESHOLD = 0.3
 CACHE = 300_000
 # No finding counts for less than this, per unit of evidence.
@@ -202,28 +202,55 @@ def _copy_key(text: Column) -> Column:
         keys = []
         for t in texts:
             words = words_of(t)
-            runs = map(b" ".join, zip(*(words[i:] for i in range(COPY_WORDS)), strict=False))
-            keys.append(min(map(xxhash.xxh32_intdigest, runs), default=-len(words)))
+            # A shorter text is one stretch.
+            size = min(COPY_WORDS, len(words))
+            runs = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False))
+            keys.append(min(map(xxhash.xxh64_intdigest, runs), default=0) >> 1)
         return pd.Series(keys, dtype="int64")
 
     return of(text)
 
 
-def _fit_weights(found: np.ndarray, toxic: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, float]:
-    """Logistic regression by Newton steps, drawn towards the grammar's own weights."""
+def objective(rows: np.ndarray, toxic: np.ndarray, weights: np.ndarray, mean: np.ndarray, strength: np.ndarray) -> float:
+    """What the fit makes small: the log loss and the distance from the grammar's own weights."""
+    logits = rows @ weights
+    loss = np.logaddexp(0, logits) - toxic * logits
+    return float(loss.sum() + 0.5 * (strength * (weights - mean) ** 2).sum())
+
+
+def fit_weights(found: np.ndarray, toxic: np.ndarray, prior: np.ndarray) -> tuple[np.ndarray, float, list[float]]:
+    """Weights of the findings, none under ``LEAST_WEIGHT``, the offset, and the objective after each step.
+
+    Logistic regression drawn towards the grammar's own weights, by Newton steps in
+    the weights that are not held at the bound. A step is halved until the
+    objective falls by a share of what its slope promises, so it never rises.
+    """
     rows = np.hstack([_capped(found), np.ones((len(found), 1))])
     mean = np.append(prior, -3.0)
     strength = np.append(np.full(len(prior), PRIOR_STRENGTH * 20), PRIOR_STRENGTH)
-    weights = mean.copy()
+    least = np.append(np.full(len(prior), LEAST_WEIGHT), -np.inf)
+    weights = np.maximum(mean, least)
+    values = [objective(rows, toxic, weights, mean, strength)]
     for _ in range(STEPS):
-        p = 1 / (1 + np.exp(-np.clip(rows @ weights, -30, 30)))
-        slope = rows.T @ (toxic - p) - strength * (weights - mean)
+        p = 1 / (1 + np.exp(-np.clip(rows @ weights, -500, 500)))
+        slope = rows.T @ (p - toxic) + strength * (weights - mean)
+        free = (weights > least) | (slope < 0)
+        if np.abs(slope[free]).max(initial=0) < FLAT:
+            break
         curve = (rows * (p * (1 - p))[:, None]).T @ rows + np.diag(strength)
-        step = np.linalg.solve(curve, slope)
-        weights = weights + np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-6:
+        step = np.zeros(len(weights))
+        step[free] = -np.linalg.solve(curve[np.ix_(free, free)], slope[free])
+        share = 1.0
+        while True:
+            tried = np.maximum(weights + share * step, least)
+            value = objective(rows, toxic, tried, mean, strength)
+            if value <= values[-1] + 1e-4 * slope @ (tried - weights) or share < 1e-12:
+                break
+            share /= 2
+        if value >= values[-1]:
             break
-    return np.maximum(weights[:-1], LEAST_WEIGHT), float(weights[-1])
+        weights, values = tried, [*values, value]
+    return weights[:-1], float(weights[-1]), values
 
 
 def fit_toxicity(sample: DataFrame) -> Toxicity:
@@ -252,8 +279,7 @@ def fit_toxicity(sample: DataFrame) -> Toxicity:
         counts.filter(a > 0)
         .select("form", unlike.alias("sure"), odds.alias("odds"))
         .filter((F.col("sure") >= SURENESS + np.log(max(1, counts.count()))) & (F.col("odds") > 0))
-        .orderBy(F.col("sure").desc(), "form")
-        .limit(MAX_INSULTS)
+        # Each stands in some toxic rows of the sample, whose size is bounded.
         .collect()
     )
     model = Toxicity({r["form"]: float(r["odds"]) for r in best})
@@ -266,7 +292,7 @@ def fit_toxicity(sample: DataFrame) -> Toxicity:
 
     rows = sample.mapInPandas(measure, "toxic int, found array<double>").collect()
     found = np.array([r["found"] for r in rows])
-    weights, offset = _fit_weights(found, np.array([float(bool(r["toxic"])) for r in rows]), model.weights)
+    weights, offset, _ = fit_weights(found, np.array([float(bool(r["toxic"])) for r in rows]), model.weights)
     return Toxicity(model.insults, weights, offset)
 
 
