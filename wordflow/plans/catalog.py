@@ -29,7 +29,7 @@ from wordflow.sources.replay import fed_stream, paced_lines, staged_parts
 from wordflow.sources.tables import spread
 from wordflow.sources.text import placed_text_lines, text_lines, without_skipped
 from wordflow.sql import register_jobs
-from wordflow.streaming.elements import running_words, timed_stream
+from wordflow.streaming.elements import advance, running_words, timed_rows, timed_stream
 from wordflow.streaming.panes import pane_stream
 from wordflow.streaming.running import combine_so_far, running_stream
 from wordflow.streaming.runs import run_available, run_in_turn, run_to_end
@@ -820,21 +820,56 @@ def stream_average_empty_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/out").select("avg_len")
 
 
+def _document_parts(documents: DataFrame, folder: str) -> list[str]:
+    """Four parts in the order of the ids."""
+    last = documents.agg(F.max("doc_id")).first()[0]
+    return _in_turn(documents, folder, F.floor(4 * F.col("doc_id") / (last + 1)))
+
+
+def _with_places(timed: DataFrame) -> DataFrame:
+    place = F.unix_millis("ts") - F.unix_millis(F.lit(str(BASE)).cast("timestamp"))
+    return _ntz(timed.select("doc_id", place.alias("place"), "ts"), "ts")
+
+
 @query(ORACLES["assigned_event_times"])
 def stream_assigned_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents of a stream get the times that the whole table would give them."""
     folder = shared_folder(spark, "times")
     documents = _document_lines(spark, sf_dir).select("doc_id")
-    last = documents.agg(F.max("doc_id")).first()[0]
-    parts = _in_turn(documents, folder, F.floor(4 * F.col("doc_id") / (last + 1)))
+    parts = _document_parts(documents, folder)
     stream = fed_stream(spark, f"{folder}/in", documents.schema)
     writer = timed_stream(
         stream, ["doc_id"], BASE, batch_folders(f"{folder}/out"), f"{folder}/totals", f"{folder}/state"
     )
     run_in_turn(spark, writer, parts, f"{folder}/in")
-    timed = spark.read.parquet(f"{folder}/out")
-    place = F.unix_millis("ts") - F.unix_millis(F.lit(str(BASE)).cast("timestamp"))
-    return _ntz(timed.select("doc_id", place.alias("place"), "ts"), "ts")
+    return _with_places(spark.read.parquet(f"{folder}/out"))
+
+
+# Tables that grow
+
+
+@query(ORACLES["stream_running_average"])
+def growing_running_average(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that grows by ten days at a time: each batch reads its own rows and a row of totals."""
+    folder = shared_folder(spark, "growing")
+    write = batch_folders(f"{folder}/out")
+    for number, part in enumerate(_in_turn(_timed_event_lines(spark, sf_dir), folder)):
+        running, _ = advance(
+            spark.read.parquet(part), number, f"{folder}/totals", AVERAGE_LENGTH, ["ts", "event_id"],
+            element="element", expand=lambda rows: words(rows, "line", "element"), within=["pos"],
+        )
+        write(running, number)
+    return _rounded(spark.read.parquet(f"{folder}/out").select("event_id", "pos", "element", "avg_len"))
+
+
+@query(ORACLES["assigned_event_times"])
+def growing_event_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event times of a table of documents that comes in four batches."""
+    folder = shared_folder(spark, "growing-times")
+    write = batch_folders(f"{folder}/out")
+    for number, part in enumerate(_document_parts(_document_lines(spark, sf_dir).select("doc_id"), folder)):
+        write(timed_rows(spark.read.parquet(part), number, f"{folder}/totals", ["doc_id"], BASE), number)
+    return _with_places(spark.read.parquet(f"{folder}/out"))
 
 
 PANES = f"""{RECORDS},

@@ -61,6 +61,14 @@ def advance(
     return results, versions.read(batch_id)
 
 
+def timed_rows(
+    rows: DataFrame, batch_id: int, state: str, order: Sequence[str], base: datetime, step_ms: int = 1, ts: str = "ts"
+) -> DataFrame:
+    """One more batch of rows with event times that go on where the batch before ended."""
+    numbered, _ = advance(rows, batch_id, state, ELEMENT_COUNT, order)
+    return numbered.select(*rows.columns, time_of(base, step_ms).alias(ts))
+
+
 def running_elements(
     rows: DataFrame,
     mergeable: Mergeable,
@@ -146,8 +154,7 @@ def timed_stream(
     def step(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
         try:
-            numbered, _ = advance(held, batch_id, state, ELEMENT_COUNT, order)
-            sink(numbered.select(*rows.columns, time_of(base, step_ms).alias(ts)), batch_id)
+            sink(timed_rows(held, batch_id, state, order, base, step_ms, ts), batch_id)
         finally:
             held.unpersist()
 
