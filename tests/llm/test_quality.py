@@ -1,8 +1,10 @@
+import random
 from collections import Counter
+from fractions import Fraction
 
 from pyspark.sql import functions as F
 
-from wordflow.llm.quality import counts_of, limits, quality_rules, repeated_words, sketches
+from wordflow.llm.quality import backed_off, counts_of, limits, quality_rules, repeated_words, sketches
 
 
 def brute_repeats(words):
@@ -45,20 +47,69 @@ def test_limits_follow_the_group(spark):
     assert not kept[1000] and not kept[1001]
 
 
+def sketched(spark, rows):
+    cols = "lang string, source string, word_length bigint, symbol_rate bigint, dup_line_rate bigint"
+    return sketches(spark.createDataFrame(rows, cols))
+
+
 def test_sketches_merge(spark):
     """Sketches of two halves add up to the sketch of the whole."""
-    cols = "lang string, source string, word_length bigint, symbol_rate bigint, dup_line_rate bigint"
     rows = [("a", f"s{i % 3}", 400 + 7 * i, i * i, i) for i in range(200)]
-    frame = spark.createDataFrame(rows, cols)
-    keys = ["level", "lang", "source", "measure", "bucket"]
-    whole = sketches(frame)
-    halves = sketches(frame.filter("dup_line_rate < 90")).union(sketches(frame.filter("dup_line_rate >= 90")))
-    merged = halves.groupBy(*keys).agg(F.sum("n").alias("n"))
+    keys = ["lang", "source", "measure", "bucket"]
+    whole = sketched(spark, rows)
+    merged = sketched(spark, rows[:90]).union(sketched(spark, rows[90:])).groupBy(*keys).agg(F.sum("n").alias("n"))
     assert sorted(map(str, whole.collect())) == sorted(map(str, merged.select(whole.columns).collect()))
-    top = limits(whole).filter("level = 2").first()
-    values = sorted(r[3] for r in rows)
-    spread = values[149] - values[49]
-    assert abs(top.symbol_rate_high - (values[149] + 3 * spread)) <= 0.2 * top.symbol_rate_high
+
+
+def test_a_large_source_has_its_own_limits(spark):
+    rows = [("a", "own", 400 + 7 * i, i * i, i) for i in range(2000)] + [("a", "other", 9000, 0, 0)] * 2000
+    found = limits(backed_off(sketched(spark, rows), 20)).filter("source = 'own'").first()
+    values = sorted(r[3] for r in rows[:2000])
+    spread = values[1499] - values[499]
+    assert abs(found.symbol_rate_high - (values[1499] + 3 * spread)) <= 0.1 * found.symbol_rate_high
+
+
+def brute_quartiles(rows, lang, source, backoff):
+    """Of ``word_length``, from weights in exact fractions."""
+    def shares(own):
+        return Counter(r[2] >> max(r[2].bit_length() - 6, 0) << max(r[2].bit_length() - 6, 0) for r in own)
+
+    whole = [r for r in rows if r[2] is not None]
+    a, in_lang, own = shares(whole), [r for r in whole if r[0] == lang], [r for r in whole if r[:2] == (lang, source)]
+    upper, weight = shares(in_lang), {}
+    for b in a:
+        lang_share = (upper[b] + Fraction(backoff * a[b], len(whole))) / (len(in_lang) + backoff)
+        weight[b] = shares(own)[b] + backoff * lang_share
+    total, below, found = sum(weight.values()), 0, []
+    for b in sorted(weight):
+        below += weight[b]
+        found += [b] * (len(found) < 1 and 4 * below >= total)
+        found += [b] * (len(found) == 1 and 4 * below >= 3 * total)
+    return found[:2]
+
+
+def test_sketches_are_backed_off_by_fixed_weights(spark):
+    rng = random.Random(3)
+    rows = [
+        (rng.choice(["a", "b", None]), rng.choice(["x", "y", "z", None]), rng.randrange(1, 900), 0, 0) for _ in range(300)
+    ] + [("c", "alone", 5000, 0, 0)]
+    for backoff in (1, 7, 50):
+        found = {(r.lang, r.source): r for r in limits(backed_off(sketched(spark, rows), backoff)).collect()}
+        assert found.keys() == {r[:2] for r in rows}
+        for (lang, source), r in found.items():
+            q1, q3 = brute_quartiles(rows, lang, source, backoff)
+            assert r.word_length_low == q1 - max(3 * (q3 - q1), 200), (lang, source)
+
+
+def test_one_more_row_flips_nothing_far_from_a_limit(spark):
+    """A source that grows row by row moves its limits little by little."""
+    rng = random.Random(8)
+    others = [("en", f"s{i % 5}", rng.randrange(380, 520), 0, 0) for i in range(2000)]
+    odd = [rng.randrange(800, 1000) for _ in range(130)]
+    rows = others + [("en", f"odd{n}", v, 0, 0) for n in range(90, 131, 4) for v in odd[:n]]
+    found = {r.source: r.word_length_high for r in limits(backed_off(sketched(spark, rows))).collect()}
+    highs = [found[f"odd{n}"] for n in range(90, 131, 4)]
+    assert all(abs(a - b) <= 0.1 * a for a, b in zip(highs, highs[1:]))
 
 
 def test_empty_table(no_docs):

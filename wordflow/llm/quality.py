@@ -3,9 +3,11 @@
 Every measure of a document falls into a bucket of a quantile sketch: its value
 with all but the six leading bits cleared, so a bucket is at most 1/32 wide. A
 sketch is a count per bucket. Counts add up, so sketches merge: map-side, across
-tasks, and from source to language to the whole. A limit is read off a sketch as
-quartile and a multiple of the quartile distance, and joined back to the
-documents of its group.
+tasks, and from source to language to the whole. Each source's sketch gets a fixed
+number of documents from its language's, and that one from the sketch of all, at
+every size, so that a source that grows goes over to its own limits little by
+little. A limit is read off a sketch as quartile and a multiple of the quartile
+distance, and joined back to the documents of its group.
 """
 
 from __future__ import annotations
@@ -45,8 +47,8 @@ FENCES = {
     "symbol_rate": Fence(slack=50),  # per thousand words
     "dup_line_rate": Fence(slack=500),  # per thousand lines
 }
-#: Groups with fewer documents use the sketch of their language, or else of all documents.
-MIN_GROUP = 100
+#: Documents that a source's sketch gets from its language's, and that one from the sketch of all.
+BACKOFF = 50
 # Parts of a group in the join with its limits, so that a hot source is spread.
 SALTS = 64
 
@@ -133,45 +135,68 @@ def bucket_end(least: Column) -> Column:
     return least + F.call_function("shiftleft", F.lit(1).cast("bigint"), _spare(least)) - 1
 
 
-def _levels(lang: str, source: str) -> Column:
-    """The group of a source, its language's and the one of all documents."""
-    none = F.lit(None).cast("string")
-    return F.array(
-        F.struct(F.lit(0).alias("level"), F.col(lang).alias("lang"), F.col(source).alias("source")),
-        F.struct(F.lit(1).alias("level"), F.col(lang).alias("lang"), none.alias("source")),
-        F.struct(F.lit(2).alias("level"), none.alias("lang"), none.alias("source")),
-    )
-
-
 def sketches(measured: DataFrame) -> DataFrame:
-    """``level, lang, source, measure, bucket, n``: per source, per language and for all.
-
-    The upper levels are merged from the finer sketches, not from the documents.
-    """
+    """``lang, source, measure, bucket, n``: documents of each source per bucket."""
     values = F.array(
         *[F.struct(F.lit(m).alias("measure"), bucket(F.col(m)).alias("bucket")) for m in FENCES]
     )
-    fine = (
+    return (
         measured.select("lang", "source", F.explode(values).alias("v"))
         .groupBy("lang", "source", "v.measure", "v.bucket")
         .agg(F.count("*").alias("n"))
     )
-    spread = fine.select(F.explode(_levels("lang", "source")).alias("g"), "measure", "bucket", "n")
-    return spread.groupBy("g.level", "g.lang", "g.source", "measure", "bucket").agg(F.sum("n").alias("n"))
+
+
+def _whole(column: str) -> Column:
+    return F.col(column).cast("decimal(38,0)")
+
+
+def backed_off(sketch: DataFrame, backoff: int = BACKOFF) -> DataFrame:
+    """``lang, source, measure, bucket, n``: each source's sketch with its shares of the upper ones.
+
+    A source of S documents, in a language of L and a table of A, has per bucket
+    ``s + backoff * (l + backoff * a / A) / (L + backoff)``. All buckets of a source
+    are given as whole multiples of this, so that no engine rounds. Only the
+    buckets of all documents, at most 2,000 per measure, are broadcast.
+    """
+    groups = sketch.groupBy("lang", "source", "measure").agg(F.lit(0).alias("one")).drop("one")
+    of_lang = sketch.groupBy("lang", "measure", "bucket").agg(F.sum("n").alias("l"))
+    of_all = of_lang.groupBy("measure", "bucket").agg(F.sum("l").alias("a"))
+    # Sizes per language, with the size of all; every document has one value of each measure.
+    sizes = of_lang.groupBy("lang", "measure").agg(F.sum("l").alias("in_lang"))
+    everything = of_all.groupBy("measure").agg(F.sum("a").alias("in_all"))
+    sizes = sizes.join(F.broadcast(everything), "measure").select(
+        F.col("lang").alias("of"), F.col("measure").alias("m"), "in_lang", "in_all"
+    )
+    known = groups.join(sizes, F.col("lang").eqNullSafe(F.col("of")) & (F.col("measure") == F.col("m"))).drop("of", "m")
+    keys = ["lang", "source", "measure"]
+    own = known.select(*[F.col(k).alias(f"k_{k}") for k in keys], "in_lang", "in_all")
+    same = [F.col(k).eqNullSafe(F.col(f"k_{k}")) for k in keys]
+    own = sketch.join(own, same[0] & same[1] & same[2]).select(
+        *keys, "bucket", (_whole("n") * _whole("in_all") * (_whole("in_lang") + backoff)).alias("n")
+    )
+    shared = of_lang.select(F.col("lang").alias("of"), F.col("measure").alias("m"), "bucket", "l")
+    shared = known.join(shared, F.col("lang").eqNullSafe(F.col("of")) & (F.col("measure") == F.col("m"))).select(
+        *keys, "bucket", (backoff * _whole("l") * _whole("in_all")).alias("n")
+    )
+    common = known.join(F.broadcast(of_all), "measure").select(
+        *keys, "bucket", (backoff * backoff * _whole("a")).alias("n")
+    )
+    parts = own.union(shared).union(common)
+    return parts.groupBy(*keys, "bucket").agg(F.sum("n").cast("decimal(38,0)").alias("n"))
 
 
 def limits(sketch: DataFrame) -> DataFrame:
-    """One row per group: ``level, lang, source, size`` and a lower and upper limit per measure."""
-    group = "level, lang, source, measure"
+    """One row per source: ``lang, source`` and a lower and upper limit per measure."""
+    group = "lang, source, measure"
     ranked = sketch.selectExpr(
         "*",
-        f"sum(n) over (partition by {group} order by bucket) as below",
-        f"sum(n) over (partition by {group}) as size",
+        f"cast(sum(n) over (partition by {group} order by bucket) as decimal(38,0)) as below",
+        f"cast(sum(n) over (partition by {group}) as decimal(38,0)) as size",
     )
-    quartiles = ranked.groupBy("level", "lang", "source", "measure").agg(
+    quartiles = ranked.groupBy("lang", "source", "measure").agg(
         F.min(F.expr("case when 4 * below >= size then bucket end")).alias("q1"),
         F.min(F.expr("case when 4 * below >= 3 * size then bucket end")).alias("q3"),
-        F.max("size").alias("size"),
     )
     found = []
     for measure, fence in FENCES.items():
@@ -182,25 +207,7 @@ def limits(sketch: DataFrame) -> DataFrame:
             F.max(F.when(is_it, low)).alias(f"{measure}_low"),
             F.max(F.when(is_it, bucket_end(F.col("q3")) + reach)).alias(f"{measure}_high"),
         ]
-    return quartiles.groupBy("level", "lang", "source").agg(F.max("size").alias("size"), *found)
-
-
-def _group_limits(found: DataFrame, min_group: int) -> DataFrame:
-    """Limits per language and source, from the first level with enough documents."""
-    names = [f"{m}_{side}" for m in FENCES for side in ("low", "high")]
-    own = found.filter("level = 0").select(
-        F.col("lang").alias("l"), F.col("source").alias("s"), F.explode(_levels("lang", "source")).alias("g")
-    )
-    candidates = own.join(
-        found,
-        (F.col("g.level") == found["level"])
-        & F.col("g.lang").eqNullSafe(found["lang"])
-        & F.col("g.source").eqNullSafe(found["source"]),
-    )
-    # The finest level that is large enough; the last one always is.
-    usable = (F.col("size") >= min_group) | (F.col("level") == 2)
-    chosen = F.min(F.when(usable, F.struct("level", *names))).alias("limits")
-    return candidates.groupBy(F.col("l").alias("lang"), F.col("s").alias("source")).agg(chosen)
+    return quartiles.groupBy("lang", "source").agg(*found)
 
 
 def quality_rules(
@@ -209,14 +216,14 @@ def quality_rules(
     source_column: str = "source",
     text_column: str = "text",
     carry: DataFrame | None = None,
-    min_group: int = MIN_GROUP,
+    backoff: int = BACKOFF,
 ) -> DataFrame:
     """The rows with the counts of ``RESULTS``, ``base_failed`` and ``kept``.
 
     A document is kept if the base rule does not fail it and each of its measures
-    lies within the limits of its language and source. Groups under ``min_group``
-    documents use the limits of their language, or else of all documents. All
-    documents of a group count for its sketch, failed ones too.
+    lies within the limits of its language and source. To the documents of a source
+    its limits add ``backoff`` more from its language, and to those of a language as
+    many from all. All documents count for the sketches, failed ones too.
 
     Null texts have no words, so the base rule fails them, as it does empty ones.
     A null language or source is a group of its own. Repeated rows each count.
@@ -227,11 +234,12 @@ def quality_rules(
     measured = written(
         _measured(docs, carried, lang_column, source_column, text_column), "measured"
     )
-    grouped = _group_limits(limits(written(sketches(measured), "sketches")), min_group)
+    found = limits(backed_off(written(sketches(measured), "sketches"), backoff))
+    names = [c for c in found.columns if c not in ("lang", "source")]
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    bounds = written(grouped, "limits").select(
-        F.col("lang").alias("l"), F.col("source").alias("s"), "limits", salts.alias("part")
-    )
+    bounds = written(
+        found.select(F.col("lang").alias("l"), F.col("source").alias("s"), F.struct(*names).alias("limits")), "limits"
+    ).select("*", salts.alias("part"))
     # Measured rows are stored, so a task that runs again gives each row the same salt.
     salted = measured.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
     joined = salted.join(

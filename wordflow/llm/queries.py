@@ -130,45 +130,51 @@ sketch as (
     select lang, source, measure, (v >> spare) << spare as bucket, count(*) as n
     from (select *, greatest(length(bin(v)) - 6, 0) as spare from long) group by all
 ),
-levels as (
-    select 0 as level, lang, source, measure, bucket, n from sketch
+of_lang as (select lang, measure, bucket, sum(n) as l from sketch group by all),
+of_all as (select measure, bucket, sum(l) as a from of_lang group by all),
+in_lang as (select lang, measure, sum(l) as in_lang from of_lang group by all),
+in_all as (select measure, sum(a) as in_all from of_all group by all),
+groups as (select distinct lang, source, measure from sketch),
+known as (
+    select g.*, in_lang::hugeint as in_lang, in_all::hugeint as in_all
+    from groups g join in_lang i on g.measure = i.measure and g.lang is not distinct from i.lang
+    join in_all e on g.measure = e.measure
+),
+parts as (
+    select k.lang, k.source, k.measure, s.bucket, s.n * in_all * (in_lang + 50) as n
+    from known k join sketch s on k.measure = s.measure
+        and k.lang is not distinct from s.lang and k.source is not distinct from s.source
     union all
-    select 1, lang, null, measure, bucket, sum(n) from sketch group by all
+    select k.lang, k.source, k.measure, o.bucket, 50 * o.l * in_all
+    from known k join of_lang o on k.measure = o.measure and k.lang is not distinct from o.lang
     union all
-    select 2, null, null, measure, bucket, sum(n) from sketch group by all
+    select k.lang, k.source, k.measure, o.bucket, 50 * 50 * o.a from known k join of_all o on k.measure = o.measure
 ),
+merged as (select lang, source, measure, bucket, sum(n) as n from parts group by all),
 ranked as (
-    select *, sum(n) over (partition by level, lang, source, measure order by bucket) as below,
-        sum(n) over (partition by level, lang, source, measure) as size
-    from levels
+    select *, sum(n) over (partition by lang, source, measure order by bucket) as below,
+        sum(n) over (partition by lang, source, measure) as size
+    from merged
 ),
 quartiles as (
-    select level, lang, source, measure, max(size) as size,
+    select lang, source, measure,
         min(bucket) filter (4 * below >= size) as q1, min(bucket) filter (4 * below >= 3 * size) as q3,
         q3 + (cast(1 as bigint) << greatest(length(bin(q3)) - 6, 0)) - 1 as top
     from ranked group by all
 ),
 limits as (
-    select level, lang, source, max(size) as size,
+    select lang, source,
         max(q1 - greatest(3 * (q3 - q1), 200)) filter (measure = 'word_length') as length_low,
         max(top + greatest(3 * (q3 - q1), 200)) filter (measure = 'word_length') as length_high,
         max(top + greatest(3 * (q3 - q1), 50)) filter (measure = 'symbol_rate') as symbol_high,
         max(top + greatest(3 * (q3 - q1), 500)) filter (measure = 'dup_line_rate') as dup_high
     from quartiles group by all
-),
-chosen as (
-    select o.lang, o.source,
-        case when o.size >= 100 then o when t.size >= 100 then t else e end as l
-    from limits o
-    join limits t on t.level = 1 and t.lang is not distinct from o.lang
-    join limits e on e.level = 2
-    where o.level = 0
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     not base_failed and word_length between l.length_low and l.length_high
         and symbol_rate <= l.symbol_high and dup_line_rate <= l.dup_high as kept
-from measured m join chosen c
-    on m.lang is not distinct from c.lang and m.source is not distinct from c.source
+from measured m join limits l
+    on m.lang is not distinct from l.lang and m.source is not distinct from l.source
 """
 
 
