@@ -4,10 +4,12 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+from wordflow.llm.queries import QUERIES
 from wordflow.llm.token_counts import (
     Rollup,
     count_documents,
     deletes,
+    deltas,
     encoding,
     inserts,
     later_copies,
@@ -92,3 +94,55 @@ def test_empty(spark, rollup, no_docs):
     assert rollup.commit("none", inserts(none)) and rollup.totals().count() == 0
     with pytest.raises(ValueError, match="batch id"):
         rollup.commit("../x", inserts(none))
+
+
+def test_folded_batches_count_once(spark, rollup):
+    change = spark.createDataFrame([("s", "en", "v1", None, 5)], f"{KEYS}, before bigint, after bigint")
+    assert not rollup.compact()
+    for batch in "abc":
+        assert rollup.commit(batch, change)
+    assert rollup.compact() and not rollup.compact()
+    assert totals(rollup) == {("s", "en", "v1"): (3, 15, 3)}
+    assert not rollup.commit("b", change) and rollup.committed() == ["a", "b", "c"]
+    assert rollup.commit("d", change) and totals(rollup) == {("s", "en", "v1"): (4, 20, 4)}
+    assert rollup.compact() and totals(rollup) == {("s", "en", "v1"): (4, 20, 4)}
+    assert rollup.committed() == ["a", "b", "c", "d"]
+    fs, path = rollup._place()
+    assert [s.getPath().getName() for s in fs.listStatus(path)] == ["base=2"]
+
+
+def test_a_folding_cut_short_loses_nothing(spark, rollup):
+    change = spark.createDataFrame([("s", "en", "v1", None, 5)], f"{KEYS}, before bigint, after bigint")
+    for batch in "ab":
+        rollup.commit(batch, change)
+    # Cut before its mark: the batches count, not the table.
+    rollup.totals().write.parquet(f"{rollup.folder}/base=1/totals")
+    assert totals(rollup) == {("s", "en", "v1"): (2, 10, 2)}
+    assert rollup.compact()
+    # Cut before the removal: the table counts, not the batch that is still there.
+    deltas(change).write.parquet(f"{rollup.folder}/batch=a")
+    assert totals(rollup) == {("s", "en", "v1"): (2, 10, 2)} and not rollup.compact()
+
+
+def test_query_recounted(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source").collect()
+    old = encoding(PATH, PATTERN)
+    new = encoding(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), PATTERN)
+    first = {}
+    for doc, text, *_ in rows:
+        first[text] = min(doc, first.get(text, doc))
+    wanted = Counter()
+    for doc, text, lang, source in rows:
+        later = doc > first[text]
+        if not later:
+            wanted[source, lang, "byte_bpe_multi_50k", "documents"] += 1
+            wanted[source, lang, "byte_bpe_multi_50k", "tokens"] += len(new.encode_ordinary(text))
+        stays = not later and lang == "en"
+        wanted[source, lang, "byte_bpe_50k", "documents"] += stays
+        wanted[source, lang, "byte_bpe_50k", "tokens"] += len(old.encode_ordinary(text)) if stays else 0
+    got = {}
+    for r in QUERIES["op8_token_counts"](spark, sf_dir).collect():
+        got[r.source, r.lang, r.tokenizer, "documents"] = r.documents
+        got[r.source, r.lang, r.tokenizer, "tokens"] = r.tokens
+    assert got == dict(wanted)

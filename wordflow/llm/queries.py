@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordflow.llm.alignment import align_tokenizers
+from wordflow.llm.common import written
 from wordflow.llm.decontamination import contaminated
 from wordflow.llm.line_dedup import line_dedup
 from wordflow.llm.lm import lm_scores
@@ -20,10 +21,10 @@ from wordflow.llm.runs import periodic_runs
 from wordflow.llm.simhash import simhash_groups
 from wordflow.llm.token_counts import (
     Rollup,
+    copies_marked,
     count_documents,
     deletes,
     inserts,
-    later_copies,
     revisions,
 )
 from wordflow.llm.toxicity import fit_toxicity, held_out, labelled_sample, toxicity_scores
@@ -56,6 +57,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -252,15 +254,25 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals after four commits: guesses, the counts in their place, copies out, the counts once more."""
-    counted = count_documents(
-        table(spark, sf_dir, "documents"), "byte_bpe_50k", BYTE_RANKS, public_tokenizers.PATTERN
-    )
+    """Totals of two tokenizer versions after six commits, of which one is made again, and two foldings.
+
+    Guesses come first, then the counts in their place, and later copies go. Then all
+    documents that are left are counted under the new version, and those that are not
+    English leave the old one.
+    """
+    docs, pattern = table(spark, sf_dir, "documents"), public_tokenizers.PATTERN
+    old = written(copies_marked(count_documents(docs, "byte_bpe_50k", BYTE_RANKS, pattern)), "old")
+    new = copies_marked(count_documents(docs, "byte_bpe_multi_50k", MULTI_RANKS, pattern)).filter("not later")
     rollup = Rollup(spark, shared_folder(spark, "rollup"))
-    rollup.commit("guesses", inserts(counted, "guess"))
-    rollup.commit("counts", revisions(counted, "guess", "tokens"))
-    rollup.commit("copies", deletes(later_copies(counted)))
-    rollup.commit("counts", revisions(counted, "guess", "tokens"))
+    rollup.commit("guesses", inserts(old, "guess"))
+    rollup.commit("counts", revisions(old, "guess", "tokens"))
+    rollup.commit("copies", deletes(old.filter("later")))
+    rollup.commit("counts", revisions(old, "guess", "tokens"))
+    rollup.compact()
+    rollup.commit("new-version", inserts(new))
+    rollup.commit("moved", deletes(old.filter("not later and not lang <=> 'en'")))
+    rollup.commit("copies", deletes(old.filter("later")))
+    rollup.compact()
     return rollup.totals()
 
 

@@ -75,7 +75,12 @@ def deltas(changes: DataFrame) -> DataFrame:
 
 
 class Rollup:
-    """Totals by source, language and tokenizer version in a folder that all executors see."""
+    """Totals by source, language and tokenizer version in a folder that all executors see.
+
+    One writer commits and compacts at a time. A folded table lies under ``base=<n>``
+    with the ids of its batches; the newest one with its mark counts, and batches that
+    it holds do not, whether they were removed already or not.
+    """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -84,27 +89,39 @@ class Rollup:
         path = self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.folder, *parts]))
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
-    def committed(self) -> list[str]:
-        """Ids of the committed batches: those whose writer left its mark."""
+    def _found(self, kind: str, mark: str) -> list[str]:
+        """Names behind ``kind=`` of the folders that have their mark."""
         fs, path = self._place()
         if not fs.exists(path):
             return []
         names = [s.getPath().getName() for s in fs.listStatus(path)]
-        return sorted(n.removeprefix("batch=") for n in names if n.startswith("batch=") and self._done(n))
+        return [n.partition("=")[2] for n in names if n.startswith(f"{kind}=") and self._done(n, mark)]
 
-    def _done(self, name: str) -> bool:
-        fs, path = self._place(name, "_SUCCESS")
+    def _done(self, name: str, mark: str = "_SUCCESS") -> bool:
+        fs, path = self._place(name, mark)
         return fs.exists(path)
 
+    def _base(self) -> int:
+        """The number of the newest folded table, 0 without any."""
+        return max(map(int, self._found("base", "_FOLDED")), default=0)
+
+    def _folded(self, base: int) -> set[str]:
+        if not base:
+            return set()
+        return {r.batch for r in self.spark.read.parquet(f"{self.folder}/base={base}/ids").collect()}
+
+    def committed(self) -> list[str]:
+        """Ids of the committed batches: those whose writer left its mark, folded ones too."""
+        return sorted({*self._found("batch", "_SUCCESS"), *self._folded(self._base())})
+
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Adds a batch; False, and nothing done, if it was committed before.
 
-        One writer commits at a time. ``batch`` is letters, digits, dots, dashes
-        and underscores.
+        ``batch`` is letters, digits, dots, dashes and underscores.
         """
         if not batch or not all(c.isalnum() or c in "._-" for c in batch):
             raise ValueError(f"not a batch id: {batch!r}")
-        if self._done(f"batch={batch}"):
+        if self._done(f"batch={batch}") or batch in self._folded(self._base()):
             return False
         # The mark is written last, by the driver, after the files of all tasks were moved in place.
         deltas(changes).select(*[F.col(f.name).cast(f.dataType) for f in TOTALS]).write.mode(
@@ -114,9 +131,34 @@ class Rollup:
         )
         return True
 
+    def compact(self) -> bool:
+        """Folds all committed batches into one table; False if there is nothing new to fold.
+
+        The mark is written last; what was folded is removed behind it. Cut short
+        anywhere, every batch still counts once.
+        """
+        before = self._base()
+        folded = self._folded(before)
+        fresh = [b for b in self._found("batch", "_SUCCESS") if b not in folded]
+        if not fresh:
+            return False
+        base = f"base={before + 1}"
+        self.totals().write.mode("overwrite").parquet(f"{self.folder}/{base}/totals")
+        ids = self.spark.createDataFrame([(b,) for b in sorted({*folded, *fresh})], "batch string")
+        ids.coalesce(1).write.mode("overwrite").parquet(f"{self.folder}/{base}/ids")
+        fs, mark = self._place(base, "_FOLDED")
+        fs.create(mark, True).close()
+        for old in [f"batch={b}" for b in {*folded, *fresh}] + [f"base={before}"] * bool(before):
+            fs, path = self._place(old)
+            fs.delete(path, True)
+        return True
+
     def totals(self) -> DataFrame:
         """One row per key that was ever changed: ``documents, tokens, changes``."""
-        paths = [f"{self.folder}/batch={b}" for b in self.committed()]
+        base = self._base()
+        folded = self._folded(base)
+        paths = [f"{self.folder}/batch={b}" for b in self._found("batch", "_SUCCESS") if b not in folded]
+        paths += [f"{self.folder}/base={base}/totals"] * bool(base)
         if not paths:
             return self.spark.createDataFrame([], TOTALS)
         found = self.spark.read.schema(TOTALS).parquet(*paths)
@@ -154,9 +196,15 @@ def count_documents(
     )
 
 
-def later_copies(counted: DataFrame) -> DataFrame:
-    """Rows whose text a smaller id has too; rows without an id are no one's copies."""
+def copies_marked(counted: DataFrame) -> DataFrame:
+    """The rows with ``later``: whether a smaller id has the same text; rows without an id are no one's copies."""
     first = counted.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     # Stored, so that the join is of two plain shuffles and a frequent text can be split.
     held = written(first.filter("first < last").select("digest", "first"), "copies")
-    return counted.join(held, "digest").filter("doc_id > first")
+    later = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
+    return counted.join(held, "digest", "left").select(*counted.columns, later.alias("later"))
+
+
+def later_copies(counted: DataFrame) -> DataFrame:
+    """Rows whose text a smaller id has too."""
+    return copies_marked(counted).filter("later").drop("later")
