@@ -1,17 +1,18 @@
-"""Masked pseudo-likelihood of documents under a two-level softmax over real words.
-
-Every word of a text is hidden in turn and predicted from the words around it:
-first its frequency class by a small two-sided window network, then the word
-within its class by how often it stands in contexts of the same code, which is
-the strongest unit of the network's hidden layer. Both the words' counts and the
-counts per word and code are tables that grow with the corpus; texts are joined
-with them by shuffle. Texts are put into chunks, and a chunk asks for each of its
-words once, so what is shuffled are distinct words, not places.
-
-Training runs through all documents once, in rounds that double: each task starts
-at the mean network of the round before and goes through its own chunks, and the
-networks are averaged by their numbers of words, in a tree, so that no task or
-driver holds more than a few.
+"""Masked pseudo-likelihood of documents: every word is hidden in turn and predicted from both sides.
+
+A small window network in numpy reads two words on either side and gives a
+two-level softmax: the word's class, then its slot within the class. Classes are
+bands of frequency, slots are parts of a class by the words' hashes, so both levels
+are learned from context. Within its slot a word has its share of the corpus,
+counted without the hidden occurrence itself. The number of classes, of slots and
+of neighbours that the network tells apart grows with the corpus, as does the table
+of words, which are counted by a shuffle.
+
+Texts are put into chunks, and a chunk asks the table for each of its words once,
+so what is shuffled are distinct words, not places. Training runs through all
+chunks once, in rounds that double: each task starts at the mean network of the
+round before and goes through its own chunks, and the networks are averaged by
+their numbers of words, in a tree, so that no task or driver holds more than a few.
 
 A word is known by 64 bits of its hash: of a billion different words, 0.03 pairs
 are expected to meet.
@@ -20,6 +21,7 @@ are expected to meet.
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import count
@@ -28,259 +30,197 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordflow.llm.common import discard, packed, unpacked, written
 
-BUCKETS = 1 << 16
-# Words around the hidden one are known by fewer buckets; the last one is the edge of the text.
-CONTEXT = 1 << 13
 SIDES = (-2, -1, 1, 2)
-WIDTH = 16
-CLASSES = 64
+WIDTH = 8
 RATE = 0.5
-BATCH = 8192
+BATCH = 1 << 14
+# A class with fewer words in a batch moves its slots as if it had so many.
+LEAST_SHARE = 32
 # Networks that are added up together.
 FAN_IN = 16
-WORDS = 1 << 16
-# Words of a chunk, which asks the tables for each distinct word once.
-CHUNK = 1 << 18
-# Contexts of the in-class step: the hidden unit of the greatest size, and its sign.
-CODES = 2 * WIDTH
-# The class's unigram shares weigh as much as so many words in each context.
-SMOOTH = 100.0
+# Words of a chunk, which sends each distinct one to be counted.
+CHUNK = 1 << 20
 # Chunks of the first round of training; rounds double from there.
-FIRST_ROUND = 16
+FIRST_ROUND = 8
+# Bits of a word's hash that give its slot: more than any shape has slots.
+SLOT_SHIFT, SLOT_BITS = 40, (1 << 12) - 1
+# Every word of a slot counts as if it stood there so much more often.
+SMOOTH = 0.5
+# Counts with the same leading bits share a class.
+LEADING_BITS = 6
+# Scores are kept within this, where powers of e are ordinary numbers.
+HIGHEST = np.float32(60.0)
 RESULTS = ["n_tokens", "log_likelihood", "per_token"]
 
 
-def buckets_of(text: str | None) -> np.ndarray:
-    words = text.encode().lower().split() if text else []
-    return np.fromiter(map(xxhash.xxh32_intdigest, words), np.uint32, len(words)) & np.uint32(BUCKETS - 1)
-
-
-def neighbours(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Hidden buckets of all texts in a row, and per hidden word the buckets on both sides."""
-    reach = max(SIDES)
-    edge = np.full(reach, CONTEXT, np.int32)
-    parts = [edge]
-    for text in texts:
-        parts += [(text & (CONTEXT - 1)).astype(np.int32), edge]
-    line = np.concatenate(parts)
-    inside = np.flatnonzero(line != CONTEXT)
-    return np.concatenate(texts or [np.zeros(0, np.uint32)]), line[inside[:, None] + np.array(SIDES)]
-
-
-@dataclass
-class Network:
-    """Weights: word vectors, a scale per side, and the classes' vectors and offsets."""
-
-    words: np.ndarray
-    sides: np.ndarray
-    classes: np.ndarray
-    offsets: np.ndarray
-
-    SHAPES = ((CONTEXT + 1, WIDTH), (len(SIDES), WIDTH), (CLASSES, WIDTH), (CLASSES,))
+@dataclass(frozen=True)
+class Shape:
+    """Sizes of a network: ``buckets`` of neighbours, ``classes``, and as many slots in each class.
 
-    @classmethod
-    def start(cls) -> Network:
-        rng = np.random.default_rng(11)
-        first, _, third, _ = cls.SHAPES
-        return cls(
-            rng.normal(0, 0.3, first).astype(np.float32),
-            np.full((len(SIDES), WIDTH), 1 / len(SIDES), np.float32),
-            rng.normal(0, 0.3, third).astype(np.float32),
-            np.zeros(CLASSES, np.float32),
-        )
+    They grow as the third and the eighth root of the words of the corpus: 16
+    thousand and 16 for a hundred million words, a million and 64 for ten million
+    million, where a network takes 34 MB.
+    """
 
-    def pack(self) -> np.ndarray:
-        return np.concatenate([w.ravel() for w in (self.words, self.sides, self.classes, self.offsets)])
+    buckets: int
+    classes: int
 
     @classmethod
-    def unpack(cls, flat: np.ndarray) -> Network:
-        parts, at = [], 0
-        for shape in cls.SHAPES:
-            size = int(np.prod(shape))
-            parts.append(flat[at : at + size].reshape(shape).astype(np.float32))
-            at += size
-        return cls(*parts)
-
-    def _hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        near = self.words[around]
-        return near, np.tanh(np.einsum("nsw,sw->nw", near, self.sides))
-
-    def log_classes(self, around: np.ndarray, steady: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Log-probabilities of all classes, and what led to them.
-
-        ``steady`` multiplies in double precision, so that a row's scores do not
-        depend on the rows beside it.
-        """
-        near, hidden = self._hidden(around)
-        if steady:
-            scores = (hidden.astype(np.float64) @ self.classes.T.astype(np.float64)).astype(np.float32) + self.offsets
-        else:
-            scores = hidden @ self.classes.T + self.offsets
-        scores -= scores.max(axis=1, keepdims=True)
-        scores -= np.log(np.exp(scores).sum(axis=1, keepdims=True))
-        return scores, hidden, near
-
-    def learn(self, wanted: np.ndarray, around: np.ndarray) -> None:
-        """One step of gradient descent on a batch."""
-        scores, hidden, near = self.log_classes(around)
-        n = np.float32(len(wanted))
-        wrong = np.exp(scores)
-        wrong[np.arange(len(wanted)), wanted] -= 1
-        back = (wrong @ self.classes) * (1 - hidden * hidden)
-        self.classes -= RATE * (wrong.T @ hidden) / n
-        self.offsets -= RATE * wrong.sum(axis=0) / n
-        # A word's vector moves by the mean over its places, so frequent words don't run away.
-        sums = np.empty_like(self.words)
-        flat = around.ravel()
-        moves = (back[:, None, :] * self.sides).reshape(-1, WIDTH)
-        for k in range(WIDTH):
-            sums[:, k] = np.bincount(flat, moves[:, k], CONTEXT + 1)
-        seen = np.bincount(flat, minlength=CONTEXT + 1).clip(1)[:, None]
-        self.sides -= RATE * np.einsum("nw,nsw->sw", back, near) / n
-        self.words -= (RATE * sums / seen).astype(np.float32)
-
-
-@dataclass
-class Classes:
-    """The class of each bucket, and the log of the bucket's share in its class."""
-
-    of: np.ndarray
-    share: np.ndarray
+    def of(cls, words: int) -> Shape:
+        bits = max(1, words).bit_length()
+        return cls(1 << 5 + -(-bits // 3), 1 << -(-bits // 8))
 
-    @classmethod
-    def by_frequency(cls, counts: np.ndarray) -> Classes:
-        """Classes of about equal shares of the corpus, from frequent to rare."""
-        weight = counts.astype(np.float64) + 1
-        order = np.argsort(-weight, kind="stable")
-        before = np.cumsum(weight[order]) - weight[order]
-        of = np.empty(len(counts), np.int64)
-        of[order] = np.minimum(CLASSES - 1, before * CLASSES / weight.sum()).astype(np.int64)
-        whole = np.bincount(of, weight, CLASSES)
-        return cls(of, np.log(weight / whole[of]).astype(np.float32))
-
-
-def _slices(texts: pd.Series) -> Iterator[list[np.ndarray]]:
-    held, size = [], 0
-    for text in texts:
-        held.append(buckets_of(text))
-        size += len(held[-1])
-        if size >= WORDS:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
-def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    counts = np.zeros(BUCKETS, np.int64)
-    for frame in frames:
-        for texts in _slices(frame["text"]):
-            counts += np.bincount(np.concatenate(texts), minlength=BUCKETS)
-    seen = np.flatnonzero(counts)
-    yield pd.DataFrame({"bucket": seen.astype(np.int32), "n": counts[seen]})
+    def arrays(self) -> list[tuple[int, ...]]:
+        k = self.classes
+        return [(self.buckets + 1, WIDTH), (len(SIDES), WIDTH), (k, WIDTH), (k,), (k, k, WIDTH), (k, k)]
 
+    def neighbours(self, texts: list[np.ndarray]) -> np.ndarray:
+        """Per word of all texts in a row the buckets on both sides; the last bucket is the edge of a text."""
+        edge = np.full(max(SIDES), self.buckets, np.int32)
+        parts = [edge]
+        for text in texts:
+            parts += [(text & np.uint64(self.buckets - 1)).astype(np.int32), edge]
+        line = np.concatenate(parts)
+        return line[np.flatnonzero(line != self.buckets)[:, None] + np.array(SIDES)]
 
-def bucket_counts(texts: DataFrame) -> np.ndarray:
-    """Words per bucket over all rows; the driver gets a number per bucket."""
-    found = texts.mapInPandas(_count, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n"))
-    counts = np.zeros(BUCKETS, np.int64)
-    for bucket, n in found.collect():
-        counts[bucket] = n
-    return counts
+    def slots(self, words: np.ndarray) -> np.ndarray:
+        """The slot of each word, by bits of its hash that no bucket looks at."""
+        return (words >> np.uint64(SLOT_SHIFT) & np.uint64(self.classes - 1)).astype(np.int64)
 
 
-def _task_network(task: int, n: int, network: Network) -> pd.DataFrame:
-    whole = network.pack().astype(np.float64) * n
-    return pd.DataFrame({"task": [task], "n": [float(n)], "weights": [whole.astype(np.float32).tobytes()]})
+def _exp(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the scores, which stay far from overflow, and their sums per row."""
+    powers = np.exp(np.clip(scores, -HIGHEST, HIGHEST, out=scores))
+    return powers, powers @ np.ones(powers.shape[1], powers.dtype)
 
 
-def _learn_all(network: Network, wanted: np.ndarray, around: np.ndarray) -> int:
-    for begin in range(0, len(wanted), BATCH):
-        network.learn(wanted[begin : begin + BATCH], around[begin : begin + BATCH])
-    return len(wanted)
+def _cells(scores: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where each row's wanted score lies in the flat array."""
+    return np.arange(0, scores.size, scores.shape[1]) + wanted
 
 
-def _train(shared):
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        classes, network, n, task = shared.value, Network.start(), 0, 0
-        for frame in frames:
-            task = int(frame["task"].iloc[0]) if len(frame) else task
-            for texts in _slices(frame["text"]):
-                hidden, around = neighbours(texts)
-                n += _learn_all(network, classes.of[hidden], around)
-        if n:
-            yield _task_network(task, n, network)
+def _wrong(scores: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The softmax of each row, less one where it is wanted: the slope of the loss."""
+    powers, sums = _exp(scores)
+    powers /= sums[:, None]
+    powers.reshape(-1)[_cells(powers, wanted)] -= 1
+    return powers
 
-    return run
 
+def _log_chosen(scores: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The logarithm of each row's softmax where it is wanted."""
+    _, sums = _exp(scores)
+    return scores.reshape(-1).take(_cells(scores, wanted)).astype(np.float64) - np.log(sums.astype(np.float64))
 
-def _add(frame: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(sum(int(np.prod(s)) for s in Network.SHAPES))
-    ordered = frame.sort_values("task")
-    for weights in ordered["weights"]:
-        total += np.frombuffer(weights, np.float32)
-    made = {"task": [int(ordered["task"].iloc[0]) // FAN_IN], "n": [ordered["n"].sum()]}
-    return pd.DataFrame({**made, "weights": [total.astype(np.float32).tobytes()]})
 
+def _by_class(kinds: np.ndarray, classes: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each class, and the places where it is wanted."""
+    order = np.argsort(kinds.astype(np.min_scalar_type(classes)), kind="stable")
+    ends = np.cumsum(np.bincount(kinds, minlength=classes)).tolist()
+    for kind, (begin, end) in enumerate(zip([0, *ends], ends)):
+        if begin < end:
+            yield kind, order[begin:end]
 
-PARTS = "task bigint, n double, weights binary"
 
+@dataclass
+class Network:
+    """Weights: neighbours' vectors, a scale per side, and the vectors and offsets of classes and slots."""
 
-def _mean(parts: DataFrame, otherwise: Network) -> Network:
-    """The mean of the tasks' networks, weighted by their words."""
-    parts = written(parts, "networks")
-    n = parts.count()
-    while n > 1:
-        grouped = parts.groupBy((F.col("task") / FAN_IN).cast("bigint").alias("group"))
-        parts = written(grouped.applyInPandas(_add, PARTS), "networks")
-        n = parts.count()
-    row = parts.first()
-    if row is None:
-        return otherwise
-    return Network.unpack(np.frombuffer(bytes(row["weights"]), np.float32) / row["n"])
+    shape: Shape
+    words: np.ndarray
+    sides: np.ndarray
+    classes: np.ndarray
+    offsets: np.ndarray
+    slots: np.ndarray
+    slot_offsets: np.ndarray
 
+    @classmethod
+    def start(cls, shape: Shape) -> Network:
+        rng = np.random.default_rng(11)
+        words, sides, classes, offsets, slots, slot_offsets = shape.arrays()
+        return cls(
+            shape,
+            rng.normal(0, 0.3, words).astype(np.float32),
+            np.full(sides, 1 / len(SIDES), np.float32),
+            rng.normal(0, 0.3, classes).astype(np.float32),
+            np.zeros(offsets, np.float32),
+            np.zeros(slots, np.float32),
+            np.zeros(slot_offsets, np.float32),
+        )
 
-def train(texts: DataFrame, classes: Classes) -> Network:
-    """One round over words known by bucket: the mean network over all tasks."""
-    shared = texts.sparkSession.sparkContext.broadcast(classes)
-    tasks = texts.select("text", F.spark_partition_id().cast("bigint").alias("task"))
-    return _mean(tasks.mapInPandas(_train(shared), PARTS), Network.start())
+    def pack(self) -> np.ndarray:
+        weights = self.words, self.sides, self.classes, self.offsets, self.slots, self.slot_offsets
+        return np.concatenate([w.ravel() for w in weights])
 
+    @classmethod
+    def unpack(cls, shape: Shape, flat: np.ndarray) -> Network:
+        parts, at = [], 0
+        for size in shape.arrays():
+            n = int(np.prod(size))
+            parts.append(flat[at : at + n].reshape(size).astype(np.float32))
+            at += n
+        return cls(shape, *parts)
+
+    def hidden(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        near = self.words.take(around, axis=0)
+        return near, np.tanh(np.einsum("nsw,sw->nw", near, self.sides))
 
-def score_texts(texts: list[np.ndarray], network: Network, classes: Classes) -> np.ndarray:
-    """The summed log-probability of each text's words, each given those around it."""
-    hidden, around = neighbours(texts)
-    found = np.empty(len(hidden))
-    for begin in range(0, len(hidden), BATCH):
-        part = slice(begin, begin + BATCH)
-        scores, _, _ = network.log_classes(around[part])
-        wanted = hidden[part]
-        found[part] = scores[np.arange(len(wanted)), classes.of[wanted]] + classes.share[wanted]
-    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-    return np.bincount(owner, found, len(texts))
+    def log_probabilities(self, kinds: np.ndarray, slots: np.ndarray, around: np.ndarray) -> np.ndarray:
+        """Of the wanted classes and slots, each given its neighbours."""
+        _, hidden = self.hidden(around)
+        found = _log_chosen(hidden @ self.classes.T + self.offsets, kinds)
+        for kind, rows in _by_class(kinds, len(self.classes)):
+            found[rows] += _log_chosen(hidden.take(rows, axis=0) @ self.slots[kind].T + self.slot_offsets[kind], slots.take(rows))
+        return found
+
+    def learn(self, kinds: np.ndarray, slots: np.ndarray, around: np.ndarray) -> None:
+        """One step of gradient descent on a batch, through both levels."""
+        near, hidden = self.hidden(around)
+        rate = np.float32(RATE / len(kinds))
+        wrong = _wrong(hidden @ self.classes.T + self.offsets, kinds)
+        back = wrong @ self.classes
+        for kind, rows in _by_class(kinds, len(self.classes)):
+            own = hidden.take(rows, axis=0)
+            inside = _wrong(own @ self.slots[kind].T + self.slot_offsets[kind], slots.take(rows))
+            back[rows] += inside @ self.slots[kind]
+            share = np.float32(RATE / max(len(rows), LEAST_SHARE))
+            self.slots[kind] -= share * (inside.T @ own)
+            self.slot_offsets[kind] -= share * inside.sum(axis=0)
+        back *= 1 - hidden * hidden
+        self.classes -= rate * (wrong.T @ hidden)
+        self.offsets -= rate * wrong.sum(axis=0)
+        # A word's vector moves by the mean over its places, so frequent words don't run away.
+        moves = back[:, None, :] * self.sides
+        self.sides -= rate * np.einsum("nw,nsw->sw", back, near)
+        flat, moves = around.ravel(), moves.reshape(-1, WIDTH)
+        seen = np.bincount(flat, minlength=len(self.words))
+        met = np.flatnonzero(seen)
+        sums = np.stack([np.bincount(flat, moves[:, k], len(seen))[met] for k in range(WIDTH)], axis=1)
+        self.words[met] -= (RATE * sums / seen[met, None]).astype(np.float32)
 
 
 CHUNKS = "chunk bigint, keys array<string>, sizes array<int>, words array<bigint>, n array<int>, places binary"
 
 
 def _chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Texts of about ``CHUNK`` words as places in the list of their distinct words."""
+    """Texts of about ``CHUNK`` words as places in the sorted list of their distinct words."""
     keys: list[str] = []
     sizes: list[int] = []
     places: list[int] = []
-    known: dict[bytes, int] = {}
+    known: defaultdict[bytes, int] = defaultdict(count().__next__)
     # Numbered by task and turn, the same whenever the task runs.
     numbers = count(TaskContext.get().partitionId() << 32)
 
     def made() -> pd.DataFrame:
-        at = np.array(places, np.int32)
-        words = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known)).view(np.int64)
-        row = next(numbers), keys, sizes, words, np.bincount(at, minlength=len(known)), _zipped(at)
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known)).view(np.int64)
+        words, ranks = np.unique(hashes, return_inverse=True)
+        at = ranks[np.array(places, np.int64)]
+        row = next(numbers), keys, sizes, words, np.bincount(at, minlength=len(words)), _zipped(at)
         return pd.DataFrame([row], columns=["chunk", "keys", "sizes", "words", "n", "places"])
 
     for frame in frames:
@@ -288,10 +228,10 @@ def _chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             words = text.encode().lower().split() if text else []
             keys.append(key)
             sizes.append(len(words))
-            places += [known.setdefault(w, len(known)) for w in words]
+            places.extend(map(known.__getitem__, words))
             if len(places) >= CHUNK:
                 yield made()
-                keys, sizes, places, known = [], [], [], {}
+                keys, sizes, places, known = [], [], [], defaultdict(count().__next__)
     if keys:
         yield made()
 
@@ -306,153 +246,207 @@ def _unzipped(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(parts.T).view("<u4").ravel().astype(np.int64)
 
 
-def vocabulary_of(chunks: DataFrame) -> DataFrame:
-    """``word, n, places`` for every word of the corpus, places in the chunks' lists; stored."""
+def counted_words(chunks: DataFrame) -> DataFrame:
+    """``chunk, at, all, slot`` per word of a chunk's list: its place there, and how often the corpus has it; stored.
+
+    ``slot``, the bits that give a word's slot, is there in one of its rows only, so
+    that these rows are the vocabulary. A word is in a chunk's list once, so however
+    frequent it is, its rows are a tiny share of all that are shuffled.
+    """
     listed = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "n")).alias("at", "w"))
-    counted = listed.groupBy(F.col("w.words").alias("word")).agg(
-        F.sum("w.n").alias("n"), F.collect_list(F.struct("chunk", "at")).alias("places")
+    of_word = Window.partitionBy("word")
+    slot = F.shiftrightunsigned("word", SLOT_SHIFT).bitwiseAND(F.lit(SLOT_BITS)).cast("int")
+    found = listed.select("chunk", "at", F.col("w.words").alias("word"), F.col("w.n").alias("n")).select(
+        "chunk",
+        "at",
+        F.sum("n").over(of_word).alias("all"),
+        F.when(F.min("chunk").over(of_word) == F.col("chunk"), slot).alias("slot"),
     )
-    return written(counted, "vocabulary")
+    return written(found, "counted")
 
 
-def class_bounds(vocabulary: DataFrame) -> tuple[list[int], np.ndarray]:
-    """The least count of each class but the last, and the words in the corpus per class.
+def _band(n: Column) -> Column:
+    """A number that grows with a count: as many of its leading bits as tell classes apart."""
+    spare = F.greatest(F.length(F.bin(n)) - LEADING_BITS, F.lit(0))
+    return (spare * (1 << LEADING_BITS - 1) + F.call_function("shiftright", n, spare)).cast("int")
 
-    Classes hold about equal shares of the corpus, from frequent to rare; words
-    of one count share a class. The driver gets a row per distinct count.
-    """
-    rows = sorted(vocabulary.groupBy("n").agg(F.count("*").alias("words")).collect(), reverse=True)
-    counts = np.array([r["n"] for r in rows], np.float64)
-    weight = counts * np.array([r["words"] for r in rows], np.float64)
-    before = np.cumsum(weight) - weight
-    slots = np.minimum(CLASSES - 1, before * CLASSES / max(1.0, weight.sum())).astype(np.int64)
-    _, numbers = np.unique(slots, return_inverse=True)
-    last = np.flatnonzero(np.diff(numbers))
-    return [int(n) for n in counts[last]], np.bincount(numbers, weight, CLASSES)
-
-
-def _of_chunks(values: DataFrame, chunks: DataFrame, types: dict[str, str]) -> DataFrame:
-    """The chunks with arrays of the ``values`` (``chunk`` and others), sorted."""
-    sorted_ = F.sort_array(F.collect_list(F.struct(*types)))
-    found = values.groupBy("chunk").agg(sorted_.alias("found"))
-    none = {c: F.expr(f"cast(array() as array<{t}>)") for c, t in types.items()}
-    arrays = [F.coalesce(F.col(f"found.{c}"), none[c]).alias(c) for c in types]
-    return chunks.join(found, "chunk", "left").select(*[F.col(c) for c in chunks.columns], *arrays)
-
-
-def _classed(chunks: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """The chunks with the counts in the corpus of those words that others have too, and a round of training."""
-    several = vocabulary.filter(F.size("places") > 1).select(F.explode("places").alias("p"), F.col("n").alias("all"))
-    values = several.select("p.chunk", "p.at", "all")
+
+def bands(n: np.ndarray) -> np.ndarray:
+    spare = np.maximum(np.frexp(n.astype(np.float64))[1] - LEADING_BITS, 0)
+    return spare * (1 << LEADING_BITS - 1) + (n >> spare)
+
+
+@dataclass
+class Tables:
+    """What the in-slot step knows of the corpus, and the class of each band of counts."""
+
+    shape: Shape
+    kinds: np.ndarray
+    #: Words in the corpus, and different words, per class and slot.
+    all: np.ndarray
+    different: np.ndarray
+
+    @classmethod
+    def of(cls, counted: DataFrame) -> Tables:
+        """From ``counted_words``. Classes hold about equal shares of the corpus, from frequent to rare.
+
+        The driver gets a row per band, 2,000 at most, and one per class and slot.
+        """
+        vocabulary = counted.filter(F.col("slot").isNotNull())
+        found = vocabulary.groupBy(_band(F.col("all")).alias("band")).agg(F.sum("all").alias("n")).collect()
+        weight = np.zeros(max((r["band"] for r in found), default=0) + 1, np.float64)
+        for r in found:
+            weight[r["band"]] = r["n"]
+        shape = Shape.of(int(weight.sum()))
+        falling = weight[::-1]
+        before = np.cumsum(falling) - falling
+        share = np.minimum(shape.classes - 1, before * shape.classes / max(1.0, weight.sum())).astype(np.int64)
+        kinds = share[::-1].copy()
+        slot = F.col("slot").bitwiseAND(F.lit(shape.classes - 1))
+        kind = F.get(F.array(*[F.lit(int(k)) for k in kinds]), _band(F.col("all")))
+        cells = vocabulary.groupBy(kind.alias("kind"), slot.alias("slot")).agg(
+            F.sum("all").alias("n"), F.count("*").alias("different")
+        )
+        made = cls(shape, kinds, *(np.zeros((shape.classes, shape.classes)) for _ in range(2)))
+        for kind_, slot_, n, different in cells.collect():
+            made.all[kind_, slot_], made.different[kind_, slot_] = n, different
+        return made
+
+    def class_of(self, counts: np.ndarray) -> np.ndarray:
+        return self.kinds[bands(counts)]
+
+    def log_shares(self, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Of words in their slots, in a corpus without the one place where each is hidden."""
+        cell = self.class_of(counts), self.shape.slots(words)
+        return np.log((counts - 1 + SMOOTH) / (self.all[cell] - 1 + SMOOTH * self.different[cell]))
+
+
+def _with_counts(chunk: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
+    """A chunk and the counts of its words, in the order of its list."""
+    all_ = np.zeros(len(counted), np.int64)
+    all_[counted["at"].to_numpy()] = counted["all"].to_numpy()
+    return chunk.drop(columns="n").assign(all=[all_])
+
+
+READY = "chunk bigint, keys array<string>, sizes array<int>, words array<bigint>, places binary, turn int, all array<bigint>"
+
+
+def with_counts(chunks: DataFrame, counted: DataFrame) -> DataFrame:
+    """The chunks with the counts of their words in the corpus, and a round of training. A group is one chunk."""
     rank = F.pmod(F.xxhash64("chunk"), F.lit(max(1, chunks.count())))
     turn = (F.floor(F.log2(F.greatest(rank / FIRST_ROUND, F.lit(0.5)))) + 1).cast("int")
-    return _of_chunks(values, chunks, {"at": "int", "all": "bigint"}).withColumn("turn", turn)
+    left = chunks.select("*", turn.alias("turn")).groupBy("chunk")
+    return left.cogroup(counted.select("chunk", "at", "all").groupBy("chunk")).applyInPandas(_with_counts, READY)
 
 
 def _read(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A chunk's places in its list of words, what stands around each, and the words' counts in the corpus."""
-    places, words = _unzipped(row.places), row.words.view(np.uint64)
-    _, around = neighbours(np.split(words[places], np.cumsum(row.sizes)[:-1]))
-    # A word that no other chunk has stands here only.
-    counts = row.n.astype(np.int64)
-    counts[row.at] = row.all
-    return places, around, counts
+    """A chunk's places in its list of words, these words, and their counts in the corpus."""
+    return _unzipped(row.places), row.words.view(np.uint64), row.all
 
 
-def _kinds(counts: np.ndarray, bounds: list[int]) -> np.ndarray:
-    """Classes of words by their counts."""
-    falling = -np.array(bounds, np.int64)
-    return np.searchsorted(falling, -counts, side="left")
+def _texts(row, places: np.ndarray, words: np.ndarray) -> list[np.ndarray]:
+    return np.split(words[places], np.cumsum(row.sizes)[:-1])
+
+
+PARTS = "task bigint, n double, weights binary"
+
+
+def _task_network(task: int, n: int, network: Network) -> pd.DataFrame:
+    whole = network.pack().astype(np.float64) * n
+    return pd.DataFrame({"task": [task], "n": [float(n)], "weights": [whole.astype(np.float32).tobytes()]})
 
 
-def train_in_rounds(classed: DataFrame, bounds: list[int], sizes: np.ndarray) -> Network:
+def _add(frame: pd.DataFrame) -> pd.DataFrame:
+    ordered = frame.sort_values("task")
+    total = sum(np.frombuffer(weights, np.float32).astype(np.float64) for weights in ordered["weights"])
+    made = {"task": [int(ordered["task"].iloc[0]) // FAN_IN], "n": [ordered["n"].sum()]}
+    return pd.DataFrame({**made, "weights": [total.astype(np.float32).tobytes()]})
+
+
+def _mean(parts: DataFrame, otherwise: Network) -> Network:
+    """The mean of the tasks' networks, weighted by their words."""
+    parts = written(parts, "networks")
+    n = parts.count()
+    while n > 1:
+        grouped = parts.groupBy((F.col("task") / FAN_IN).cast("bigint").alias("group"))
+        before, parts = parts, written(grouped.applyInPandas(_add, PARTS), "networks")
+        discard(before)
+        n = parts.count()
+    row = parts.first()
+    discard(parts)
+    if row is None:
+        return otherwise
+    return Network.unpack(otherwise.shape, np.frombuffer(bytes(row["weights"]), np.float32) / row["n"])
+
+
+def train(ready: DataFrame, tables: Tables) -> Network:
     """Passes the mean network from round to round; every chunk has its turn once.
 
-    The first one knows the classes' shares of the corpus (``sizes``).
+    The first one knows the shares of classes and slots in the corpus.
     """
-    network = Network.start()
-    network.offsets = np.log((sizes + 1) / (sizes + 1).sum()).astype(np.float32)
+    shape = tables.shape
+    network = Network.start(shape)
+    per_class = tables.all.sum(axis=1) + 1
+    network.offsets = np.log(per_class / per_class.sum()).astype(np.float32)
+    network.slot_offsets = np.log((tables.all + 1) / (tables.all + 1).sum(axis=1, keepdims=True)).astype(np.float32)
     task = F.spark_partition_id().cast("bigint").alias("task")
-    for turn in sorted(r["turn"] for r in classed.select("turn").distinct().collect()):
-        shared = classed.sparkSession.sparkContext.broadcast(network.pack())
+    columns = ["sizes", "words", "places", "all"]
+    for turn in sorted(r["turn"] for r in ready.select("turn").distinct().collect()):
+        shared = ready.sparkSession.sparkContext.broadcast((tables, network.pack()))
 
         def run(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            own, n, task = Network.unpack(shared.value), 0, 0
+            known, start = shared.value
+            own, n, task = Network.unpack(known.shape, start), 0, 0
             for frame in frames:
                 for row in frame.itertuples():
-                    places, around, counts = _read(row)
-                    n, task = n + _learn_all(own, _kinds(counts, bounds)[places], around), row.task
+                    places, words, counts = _read(row)
+                    around = known.shape.neighbours(_texts(row, places, words))
+                    kinds, slots = known.class_of(counts)[places], known.shape.slots(words)[places]
+                    for begin in range(0, len(places), BATCH):
+                        part = slice(begin, begin + BATCH)
+                        own.learn(kinds[part], slots[part], around[part])
+                    n, task = n + len(places), row.task
             if n:
                 yield _task_network(task, n, own)
 
-        part = classed.filter(F.col("turn") == turn).select("sizes", "words", "n", "places", "at", "all", task)
+        part = ready.filter(F.col("turn") == turn).select(*columns, task)
         network = _mean(part.mapInPandas(run, PARTS), network)
+        shared.unpersist()
     return network
 
 
-PLACED = (
-    "chunk bigint, keys array<string>, sizes array<int>, sums array<double>, pairs binary, kind_code array<int>, "
-    "all array<bigint>, n array<int>, shared array<int>, word array<bigint>, totals array<bigint>"
-)
-
-
-def _place(shared, bounds: list[int]):
-    """Per chunk the class step's sums, and its distinct pairs of word and code."""
+def scored_texts(ready: DataFrame, tables: Tables, network: Network) -> DataFrame:
+    """``key, n_tokens, log_likelihood`` per text: the sum over its words, each hidden in turn."""
+    shared = ready.sparkSession.sparkContext.broadcast((tables, network.pack()))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        network = Network.unpack(shared.value)
+        known, weights = shared.value
+        own = Network.unpack(known.shape, weights)
         for frame in frames:
             for row in frame.itertuples():
-                places, around, counts = _read(row)
-                kinds = _kinds(counts, bounds)
-                wanted, found = kinds[places], np.empty(len(places))
-                codes = np.empty(len(places), np.int64)
+                places, words, counts = _read(row)
+                around = known.shape.neighbours(_texts(row, places, words))
+                kinds, slots = known.class_of(counts)[places], known.shape.slots(words)[places]
+                found = known.log_shares(words, counts)[places]
                 for begin in range(0, len(places), BATCH):
                     part = slice(begin, begin + BATCH)
-                    scores, hidden, _ = network.log_classes(around[part], steady=True)
-                    found[part] = scores[np.arange(len(scores)), wanted[part]]
-                    unit = np.abs(hidden).argmax(axis=1)
-                    codes[part] = 2 * unit + (hidden[np.arange(len(unit)), unit] > 0)
+                    found[part] += own.log_probabilities(kinds[part], slots[part], around[part])
                 owner = np.repeat(np.arange(len(row.sizes)), row.sizes)
-                pairs, at, n = np.unique(places * CODES + codes, return_inverse=True, return_counts=True)
-                word = pairs // CODES
-                # Pairs of a word that no other chunk has are whole as they are.
-                several = np.flatnonzero(counts[word] > row.n[word])
-                yield pd.DataFrame(
-                    {
-                        "chunk": [row.chunk],
-                        "keys": [row.keys],
-                        "sizes": [row.sizes],
-                        "sums": [np.bincount(owner, found, len(row.sizes))],
-                        "pairs": [_zipped(at)],
-                        "kind_code": [(kinds[word] * CODES + pairs % CODES).astype(np.int32)],
-                        "all": [counts[word]],
-                        "n": [n.astype(np.int32)],
-                        "shared": [several.astype(np.int32)],
-                        "word": [row.words[word[several]]],
-                        "totals": [np.bincount(wanted * CODES + codes, minlength=CLASSES * CODES)],
-                    }
-                )
-
-    return run
-
-
-def _finish(shared):
-    """Adds the in-class step: the share of the word in its class among places of the same code."""
+                sums = np.bincount(owner, found, len(row.sizes))
+                yield pd.DataFrame({"key": row.keys, "n_tokens": row.sizes, "log_likelihood": sums})
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        classes, contexts = shared.value
-        for frame in frames:
-            for row in frame.itertuples():
-                n = row.n.astype(np.float64)
-                n[row.at] = row.whole
-                prior = SMOOTH * row.all / classes[row.kind_code // CODES]
-                logs = np.log((n + prior) / (contexts[row.kind_code] + SMOOTH))
-                owner = np.repeat(np.arange(len(row.sizes)), row.sizes)
-                inside = np.bincount(owner, logs[_unzipped(row.pairs)], len(row.sizes))
-                yield pd.DataFrame({"key": row.keys, "n_tokens": row.sizes, "log_likelihood": row.sums + inside})
+    return ready.mapInPandas(run, "key string, n_tokens bigint, log_likelihood double")
 
-    return run
+
+def corpus_chunks(texts: DataFrame) -> tuple[DataFrame, Tables]:
+    """The chunks of ``key, text`` rows with the counts of their words, stored, and the tables of the corpus."""
+    chunks = written(texts.mapInPandas(_chunks, CHUNKS), "chunks")
+    counted = counted_words(chunks)
+    tables = Tables.of(counted)
+    ready = written(with_counts(chunks, counted), "ready")
+    discard(chunks)
+    discard(counted)
+    return ready, tables
 
 
 def lm_scores(
@@ -470,37 +464,13 @@ def lm_scores(
     The network is the same for the same rows in the same partitions.
     """
     carried = docs if carry is None else carry
-    context = docs.sparkSession.sparkContext
     text = F.coalesce(F.col(f"`{text_column}`"), F.lit(""))
     # What a text scores depends on the text only, so its digest finds its row again.
     rows = written(docs.select(packed(carried), F.md5(text).alias("key")), "rows")
-    texts = docs.select(F.md5(text).alias("key"), text.alias("text"))
-    chunks = written(texts.mapInPandas(_chunks, CHUNKS), "chunks")
-    vocabulary = vocabulary_of(chunks)
-    bounds, sizes = class_bounds(vocabulary)
-    classed = written(_classed(chunks, vocabulary), "classed")
-    discard(chunks)
-    discard(vocabulary)
-    network = context.broadcast(train_in_rounds(classed, bounds, sizes).pack())
-    placed = written(classed.drop("turn").mapInPandas(_place(network, bounds), PLACED), "placed")
-
-    contexts = np.zeros(CLASSES * CODES)
-    per_context = placed.select(F.posexplode("totals").alias("at", "n")).filter("n > 0").groupBy("at")
-    for at, n in per_context.agg(F.sum("n")).collect():
-        contexts[at] = n
-    pairs = placed.select(
-        "chunk", "kind_code", "n", F.explode(F.arrays_zip("shared", "word")).alias("p")
-    ).selectExpr("chunk", "p.shared as at", "p.word", f"kind_code[p.shared] % {CODES} as code", "n[p.shared] as n")
-    counted = pairs.groupBy("word", "code").agg(
-        F.sum("n").alias("whole"), F.collect_list(F.struct("chunk", "at")).alias("places")
-    )
-    values = written(counted, "word-contexts").select(F.explode("places").alias("p"), "whole")
-    shared = context.broadcast((sizes, contexts))
-    listed = _of_chunks(
-        values.select("p.chunk", "p.at", "whole"), placed.drop("shared", "word", "totals"), {"at": "int", "whole": "bigint"}
-    )
-    scored = listed.mapInPandas(_finish(shared), "key string, n_tokens bigint, log_likelihood double")
+    ready, tables = corpus_chunks(docs.select(F.md5(text).alias("key"), text.alias("text")))
+    scored = scored_texts(ready, tables, train(ready, tables))
     once = written(scored.groupBy("key").agg(F.max(F.struct("n_tokens", "log_likelihood")).alias("s")), "scored")
+    discard(ready)
     made = rows.join(once, "key").select("row", "s.*")
     per_token = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     return made.select("row", "n_tokens", "log_likelihood", per_token.alias("per_token")).select(
