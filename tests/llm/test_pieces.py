@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -80,3 +81,30 @@ def test_compiled_character_maps(rule):
 
 def test_empty_table(no_docs):
     assert sentencepiece_decode(sentencepiece_encode(no_docs, PATH), PATH).count() == 0
+
+
+def test_merges_side_by_side_are_those_of_one_stretch_at_a_time(own):
+    from wordflow.llm.pieces import LONG, encode_stretch
+    from wordflow.llm.piece_merges import Merges
+
+    rng = random.Random(6)
+    pieces = [p for p in own.model.pieces if len(p) > 2]
+    made = ["".join(rng.choices("abcdeinorst", k=rng.randrange(1, 40))) for _ in range(3000)]
+    made += ["▁" + rng.choice(pieces) + rng.choice(pieces)[: rng.randrange(4)] for _ in range(3000)]
+    made += ["▁", "a", "x" * LONG, "y" * (LONG + 1), "▁你\x01", "é" * 7, "▁▁▁a"]
+    known = 0
+    for stretch, found in zip(made, Merges(own.model).encode(made, LONG), strict=True):
+        if found is not None:
+            ids, sizes = encode_stretch(own.model, stretch)
+            assert np.frombuffer(found, np.int32).reshape(-1, 2).T.tolist() == [ids, sizes], stretch
+            known += 1
+    assert known > 5900 and Merges(own.model).encode([], LONG) == []
+
+
+def test_a_full_memory_changes_nothing(library, monkeypatch):
+    monkeypatch.setattr("wordflow.llm.pieces.CACHE", 50)
+    own, rng = Encoder(PATH), random.Random(2)
+    for _ in range(60):
+        text = " ".join("".join(rng.choices("abcdef", k=rng.randrange(1, 9))) for _ in range(30)) + "z" * rng.randrange(200)
+        assert own.encode(text)[0].tolist() == library.encode(text)
+    assert len(own.known) < 120 and all(len(s) <= 64 for s in own.known)

@@ -18,6 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wordflow.llm.piece_merges import Merges
 from wordflow.llm.sentencepiece_model import BYTE, CONTROL, UNKNOWN, Model, load
 
 # Stretches whose pieces a worker remembers, and the longest that is worth it.
@@ -146,29 +147,40 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.model = load(path)
+        self.merges = Merges(self.model)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def _look_up(self, stretch: str) -> bytes:
-        """Pairs of id and size; what was used lately stays known when the memory is full."""
-        found = self.older.get(stretch)
-        if found is None:
-            ids, sizes = encode_stretch(self.model, stretch)
-            found = np.array([ids, sizes], np.int32).T.tobytes()
-        if len(stretch) <= CACHED_CHARS:
-            if len(self.known) >= CACHE:
-                self.older, self.known = self.known, {}
-            self.known[stretch] = found
-        return found
-
-    def _pairs(self, normal: str) -> bytes:
-        known, look_up = self.known.get, self._look_up
-        return b"".join([known(s) or look_up(s) for s in self.model.chunks.findall(normal)])
+    def _learn(self, stretches: set[str]) -> list[str]:
+        """Makes the stretches known, as pairs of id and size; gives those that are too long to keep.
+
+        What was used lately stays known when the memory is full.
+        """
+        if len(self.known) >= CACHE:
+            self.older, self.known = self.known, {}
+        known, fresh = self.known, []
+        for stretch in stretches:
+            if stretch not in known:
+                found = self.older.get(stretch)
+                if found is None:
+                    fresh.append(stretch)
+                else:
+                    known[stretch] = found
+        for stretch, found in zip(fresh, self.merges.encode(fresh, LONG), strict=True):
+            if found is None:
+                found = np.array(encode_stretch(self.model, stretch), np.int32).T.tobytes()
+            known[stretch] = found
+        return [s for s in fresh if len(s) > CACHED_CHARS]
 
     def encode_all(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids, begins and ends of all texts in a row, and where each text's ids begin in them."""
         found = [self.model.normalise(text or "") for text in texts]
-        packed = [self._pairs(normal) for normal, _ in found]
+        stretches = [self.model.chunks.findall(normal) for normal, _ in found]
+        passing = self._learn(set().union(*stretches))
+        pairs_of = self.known.__getitem__
+        packed = [b"".join(map(pairs_of, own)) for own in stretches]
+        for stretch in passing:
+            del self.known[stretch]
         counts = np.array([len(p) // PAIR for p in packed], np.int64)
         pairs = np.frombuffer(b"".join(packed), np.int32).reshape(-1, 2)
         ids, sizes = pairs[:, 0], pairs[:, 1].astype(np.int64)
