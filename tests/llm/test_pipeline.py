@@ -70,7 +70,7 @@ def test_stages_do_what_they_say(spark, tables):
             wanted += bag((d, t) for d, t, *_ in old if d is None)
         elif name == "decontamination":
             found = leaks.brute([(t, t) for _, t, *_ in old], items, 2)
-            bad = {t for (t, item), n in found.items() if 2 * n >= len(leaks.normal_words(dict(items)[item]))}
+            bad = {t for (t, item), n in found.items() if 5 * n >= len(leaks.normal_words(dict(items)[item]))}
             wanted = bag((d, t) for d, t, *_ in old if t not in bad)
         else:
             got = Counter((r.doc_id, tuple(r.ids), r.n_tokens) for r in after.collect())

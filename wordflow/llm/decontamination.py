@@ -26,7 +26,7 @@ CLASSES = 4
 MASKS = list(combinations(range(CLASSES), 2))
 MAX_SUBSTITUTIONS = 2
 # A document goes if it has so many percent of an item's words, in such windows along one alignment.
-MIN_COVERAGE = 50
+MIN_COVERAGE = 20
 # Scripts that set no blanks between words, whose characters are words each: Thai, Lao,
 # Burmese, Khmer, kana, Han. Ranges of code points, fixed values.
 _UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]")
