@@ -107,7 +107,7 @@ def test_probabilities_of_all_words_sum_to_one(spark):
     shape = tables.shape
     around = np.array([[1, 2, 3, shape.buckets]], np.int32)
     vocabulary = Counter(w for r in frame.collect() for w in hashed(r.text))
-    words = np.array(list(vocabulary), np.uint64)
+    words = np.array([(w >> 40 & 255) << 23 | w & (1 << 23) - 1 for w in vocabulary], np.int32)
     counts = np.array(list(vocabulary.values()), np.int64)
     kinds, slots = tables.class_of(counts), shape.slots(words)
     levels = network.log_probabilities(kinds, slots, np.repeat(around, len(words), axis=0))

@@ -8,7 +8,7 @@ counted without the hidden occurrence itself. The number of classes, of slots an
 of neighbours that the network tells apart grows with the corpus, as does the table
 of words, which are counted by a shuffle.
 
-Texts are put into chunks, and a chunk asks the table for each of its words once,
+Texts are put into chunks, and a chunk sends each of its words to be counted once,
 so what is shuffled are distinct words, not places. Training runs through all
 chunks once, in rounds that double: each task starts at the mean network of the
 round before and goes through its own chunks, and the networks are averaged by
@@ -47,8 +47,9 @@ FAN_IN = 16
 CHUNK = 1 << 20
 # Chunks of the first round of training; rounds double from there.
 FIRST_ROUND = 8
-# Bits of a word's hash that give its slot: more than any shape has slots.
-SLOT_SHIFT, SLOT_BITS = 40, (1 << 12) - 1
+# Of a word's hash, the bits that give its bucket and, from ``SLOT_SHIFT`` on, its slot:
+# more than a shape has for 10 ** 16 words. Side by side they are the word's code.
+BUCKET_BITS, SLOT_SHIFT, SLOT_BITS = 23, 40, 8
 # Every word of a slot counts as if it stood there so much more often.
 SMOOTH = 0.5
 # Counts with the same leading bits share a class.
@@ -84,13 +85,13 @@ class Shape:
         edge = np.full(max(SIDES), self.buckets, np.int32)
         parts = [edge]
         for text in texts:
-            parts += [(text & np.uint64(self.buckets - 1)).astype(np.int32), edge]
+            parts += [text & np.int32(self.buckets - 1), edge]
         line = np.concatenate(parts)
         return line[np.flatnonzero(line != self.buckets)[:, None] + np.array(SIDES)]
 
-    def slots(self, words: np.ndarray) -> np.ndarray:
+    def slots(self, codes: np.ndarray) -> np.ndarray:
         """The slot of each word, by bits of its hash that no bucket looks at."""
-        return (words >> np.uint64(SLOT_SHIFT) & np.uint64(self.classes - 1)).astype(np.int64)
+        return (codes >> BUCKET_BITS & np.int32(self.classes - 1)).astype(np.int64)
 
 
 def _exp(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,7 +209,7 @@ CHUNKS = "chunk bigint, keys array<string>, sizes array<int>, words array<bigint
 
 
 def _chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Texts of about ``CHUNK`` words as places in the sorted list of their distinct words."""
+    """Texts of about ``CHUNK`` words as places in the list of their distinct words."""
     keys: list[str] = []
     sizes: list[int] = []
     places: list[int] = []
@@ -218,9 +219,13 @@ def _chunks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def made() -> pd.DataFrame:
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, known), np.uint64, len(known)).view(np.int64)
-        words, ranks = np.unique(hashes, return_inverse=True)
-        at = ranks[np.array(places, np.int64)]
-        row = next(numbers), keys, sizes, words, np.bincount(at, minlength=len(words)), _zipped(at)
+        at = np.array(places, np.int64)
+        n = np.bincount(at, minlength=len(known))
+        # Frequent words first: their places are small numbers, which are packed well.
+        order = np.argsort(-n, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        row = next(numbers), keys, sizes, hashes[order], n[order], _zipped(rank[at])
         return pd.DataFrame([row], columns=["chunk", "keys", "sizes", "words", "n", "places"])
 
     for frame in frames:
@@ -246,6 +251,15 @@ def _unzipped(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(parts.T).view("<u4").ravel().astype(np.int64)
 
 
+def _slot(word: Column) -> Column:
+    return F.shiftrightunsigned(word, SLOT_SHIFT).bitwiseAND(F.lit((1 << SLOT_BITS) - 1)).cast("int")
+
+
+def _code(word: Column) -> Column:
+    bucket = word.bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)).cast("int")
+    return F.call_function("shiftleft", _slot(word), F.lit(BUCKET_BITS)).bitwiseOR(bucket)
+
+
 def counted_words(chunks: DataFrame) -> DataFrame:
     """``chunk, at, all, slot`` per word of a chunk's list: its place there, and how often the corpus has it; stored.
 
@@ -255,7 +269,7 @@ def counted_words(chunks: DataFrame) -> DataFrame:
     """
     listed = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "n")).alias("at", "w"))
     of_word = Window.partitionBy("word")
-    slot = F.shiftrightunsigned("word", SLOT_SHIFT).bitwiseAND(F.lit(SLOT_BITS)).cast("int")
+    slot = _slot(F.col("word"))
     found = listed.select("chunk", "at", F.col("w.words").alias("word"), F.col("w.n").alias("n")).select(
         "chunk",
         "at",
@@ -315,9 +329,9 @@ class Tables:
     def class_of(self, counts: np.ndarray) -> np.ndarray:
         return self.kinds[bands(counts)]
 
-    def log_shares(self, words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    def log_shares(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Of words in their slots, in a corpus without the one place where each is hidden."""
-        cell = self.class_of(counts), self.shape.slots(words)
+        cell = self.class_of(counts), self.shape.slots(codes)
         return np.log((counts - 1 + SMOOTH) / (self.all[cell] - 1 + SMOOTH * self.different[cell]))
 
 
@@ -325,27 +339,28 @@ def _with_counts(chunk: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
     """A chunk and the counts of its words, in the order of its list."""
     all_ = np.zeros(len(counted), np.int64)
     all_[counted["at"].to_numpy()] = counted["all"].to_numpy()
-    return chunk.drop(columns="n").assign(all=[all_])
+    return chunk.assign(all=[all_])
 
 
-READY = "chunk bigint, keys array<string>, sizes array<int>, words array<bigint>, places binary, turn int, all array<bigint>"
+READY = "chunk bigint, keys array<string>, sizes array<int>, places binary, codes array<int>, turn int, all array<bigint>"
 
 
 def with_counts(chunks: DataFrame, counted: DataFrame) -> DataFrame:
     """The chunks with the counts of their words in the corpus, and a round of training. A group is one chunk."""
     rank = F.pmod(F.xxhash64("chunk"), F.lit(max(1, chunks.count())))
     turn = (F.floor(F.log2(F.greatest(rank / FIRST_ROUND, F.lit(0.5)))) + 1).cast("int")
-    left = chunks.select("*", turn.alias("turn")).groupBy("chunk")
+    codes = F.transform("words", _code).alias("codes")
+    left = chunks.select("chunk", "keys", "sizes", "places", codes, turn.alias("turn")).groupBy("chunk")
     return left.cogroup(counted.select("chunk", "at", "all").groupBy("chunk")).applyInPandas(_with_counts, READY)
 
 
 def _read(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A chunk's places in its list of words, these words, and their counts in the corpus."""
-    return _unzipped(row.places), row.words.view(np.uint64), row.all
+    """A chunk's places in its list of words, the codes of these words, and their counts in the corpus."""
+    return _unzipped(row.places), row.codes, row.all
 
 
-def _texts(row, places: np.ndarray, words: np.ndarray) -> list[np.ndarray]:
-    return np.split(words[places], np.cumsum(row.sizes)[:-1])
+def _texts(row, places: np.ndarray, codes: np.ndarray) -> list[np.ndarray]:
+    return np.split(codes[places], np.cumsum(row.sizes)[:-1])
 
 
 PARTS = "task bigint, n double, weights binary"
@@ -390,7 +405,7 @@ def train(ready: DataFrame, tables: Tables) -> Network:
     network.offsets = np.log(per_class / per_class.sum()).astype(np.float32)
     network.slot_offsets = np.log((tables.all + 1) / (tables.all + 1).sum(axis=1, keepdims=True)).astype(np.float32)
     task = F.spark_partition_id().cast("bigint").alias("task")
-    columns = ["sizes", "words", "places", "all"]
+    columns = ["sizes", "codes", "places", "all"]
     for turn in sorted(r["turn"] for r in ready.select("turn").distinct().collect()):
         shared = ready.sparkSession.sparkContext.broadcast((tables, network.pack()))
 
@@ -399,9 +414,9 @@ def train(ready: DataFrame, tables: Tables) -> Network:
             own, n, task = Network.unpack(known.shape, start), 0, 0
             for frame in frames:
                 for row in frame.itertuples():
-                    places, words, counts = _read(row)
-                    around = known.shape.neighbours(_texts(row, places, words))
-                    kinds, slots = known.class_of(counts)[places], known.shape.slots(words)[places]
+                    places, codes, counts = _read(row)
+                    around = known.shape.neighbours(_texts(row, places, codes))
+                    kinds, slots = known.class_of(counts)[places], known.shape.slots(codes)[places]
                     for begin in range(0, len(places), BATCH):
                         part = slice(begin, begin + BATCH)
                         own.learn(kinds[part], slots[part], around[part])
@@ -424,10 +439,10 @@ def scored_texts(ready: DataFrame, tables: Tables, network: Network) -> DataFram
         own = Network.unpack(known.shape, weights)
         for frame in frames:
             for row in frame.itertuples():
-                places, words, counts = _read(row)
-                around = known.shape.neighbours(_texts(row, places, words))
-                kinds, slots = known.class_of(counts)[places], known.shape.slots(words)[places]
-                found = known.log_shares(words, counts)[places]
+                places, codes, counts = _read(row)
+                around = known.shape.neighbours(_texts(row, places, codes))
+                kinds, slots = known.class_of(counts)[places], known.shape.slots(codes)[places]
+                found = known.log_shares(codes, counts)[places]
                 for begin in range(0, len(places), BATCH):
                     part = slice(begin, begin + BATCH)
                     found[part] += own.log_probabilities(kinds[part], slots[part], around[part])
